@@ -82,21 +82,20 @@ def uicc_stage(value: Column) -> Column:
 def ecog_bucket(value: Column) -> Column:
     """ECOG 0 to 4, or U, from an ECOG grade or a Karnofsky percentage."""
     text = F.upper(F.regexp_replace(value, r"[\s%_]|ECOG|KARNOFSKY", ""))
-    percent = text.cast("int")
     folded = (
         F.when(text.isin("0", "1", "2", "3", "4"), text)
-        .when(percent.isin(90, 100), "0")
-        .when(percent.isin(70, 80), "1")
-        .when(percent.isin(50, 60), "2")
-        .when(percent.isin(30, 40), "3")
-        .when(percent.isin(10, 20), "4")
+        .when(text.isin("90", "100"), "0")
+        .when(text.isin("70", "80"), "1")
+        .when(text.isin("50", "60"), "2")
+        .when(text.isin("30", "40"), "3")
+        .when(text.isin("10", "20"), "4")
     )
     return F.when(value.isNotNull(), F.coalesce(folded, F.lit("U")))
 
 
 def gleason_score(primary: Column, secondary: Column, result: Column) -> Column:
     """The reported score, else the sum of both patterns (7a for 3+4, 7b for 4+3)."""
-    total = (primary.cast("int") + secondary.cast("int")).cast("string")
+    total = (primary.try_cast("int") + secondary.try_cast("int")).cast("string")
     letter = (
         F.when((primary == "3") & (secondary == "4"), "a")
         .when((primary == "4") & (secondary == "3"), "b")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oncolake import config as C
 from oncolake.config import MappingConfig
-from oncolake.schemas import CODING, CODINGS
+from oncolake.schemas import CODINGS
 
 
 def make_coding(
@@ -21,20 +21,37 @@ def make_coding(
     ordinal: Column | None = None,
 ) -> Column:
     """One coding. Absent reasons stand in for a missing code or version."""
-
-    def column(value, kind):
-        return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
-
-    return F.struct(
-        column(system, "string").alias("system"),
-        column(version, "string").alias("version"),
-        column(code, "string").alias("code"),
-        column(display, "string").alias("display"),
-        column(user_selected, "boolean").alias("user_selected"),
-        column(code_absent, "string").alias("code_absent"),
-        column(version_absent, "string").alias("version_absent"),
-        column(ordinal, "decimal(18,6)").alias("ordinal"),
-    ).cast(CODING)
+    members = [
+        ("system", "string", system),
+        ("version", "string", version),
+        ("code", "string", code),
+        ("display", "string", display),
+        ("user_selected", "boolean", user_selected),
+        ("code_absent", "string", code_absent),
+        ("version_absent", "string", version_absent),
+        ("ordinal", "decimal(18,6)", ordinal),
+    ]
+    if not any(isinstance(value, Column) for *_, value in members):
+        fields = ", ".join(f"'{name}', {sql_literal(value, kind)}" for name, kind, value in members)
+        return F.expr(f"named_struct({fields})")
+    return F.struct(*[constant_or_column(name, kind, value) for name, kind, value in members])
+
+
+def sql_literal(value, kind: str) -> str:
+    """SQL text of a constant of a type; None gives a typed null."""
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    if isinstance(value, bool):
+        return str(value).lower()
+    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
+
+
+def constant_or_column(name: str, kind: str, value) -> Column:
+    """A named member; constants are given as SQL, which builds faster than nested calls."""
+    if isinstance(value, Column):
+        return value.cast(kind).alias(name)
+    return F.expr(f"{sql_literal(value, kind)} AS {name}")
 
 
 def snomed(cfg: MappingConfig, code, display=None, **more) -> Column:

@@ -81,30 +81,40 @@ def map_procedures(reports: DataFrame, cfg: MappingConfig = DEFAULT) -> DataFram
     return reduce(DataFrame.unionByName, tables)
 
 
+RESOURCE_TYPES = (
+    "Patient Condition Observation Procedure MedicationStatement Medication Specimen "
+    "DiagnosticReport AdverseEvent CarePlan List"
+).split()
+
+
 def map_all(
     reports: DataFrame,
     cfg: MappingConfig = DEFAULT,
     drug_map: DataFrame | None = None,
     classification_map: DataFrame | None = None,
     patient_group: tuple[str, ...] = ("patient_id",),
+    types: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
-    """Every resource table, keyed by resource type. Stage the reports first; many jobs read them."""
-    conditions = R.map_conditions(reports, cfg).unionByName(run_job(reports, "earlier_tumours", cfg))
-    tables = {
-        "Condition": conditions,
-        "Observation": map_observations(reports, cfg, classification_map),
-        "Procedure": map_procedures(reports, cfg),
-        "MedicationStatement": run_job(reports, "medication_statements", cfg, drug_map=drug_map),
-        "Medication": run_job(reports, "medications", cfg, drug_map=drug_map),
-        "Specimen": run_job(reports, "specimens", cfg),
-        "DiagnosticReport": run_job(reports, "pathology_reports", cfg),
-        "AdverseEvent": run_job(reports, "adverse_events", cfg),
-        "CarePlan": run_job(reports, "tumour_boards", cfg),
-        "List": run_job(reports, "evidence_lists", cfg),
+    """Every resource table (or those of some types), keyed by resource type.
+
+    Stage the reports first; many jobs read them.
+    """
+    job = lambda name, **maps: run_job(reports, name, cfg, **maps)
+    makers = {
+        "Patient": lambda: R.map_patients(reports, cfg, patient_group),
+        "Condition": lambda: R.map_conditions(reports, cfg).unionByName(job("earlier_tumours")),
+        "Observation": lambda: map_observations(reports, cfg, classification_map),
+        "Procedure": lambda: map_procedures(reports, cfg),
+        "MedicationStatement": lambda: job("medication_statements", drug_map=drug_map),
+        "Medication": lambda: job("medications", drug_map=drug_map),
+        "Specimen": lambda: job("specimens"),
+        "DiagnosticReport": lambda: job("pathology_reports"),
+        "AdverseEvent": lambda: job("adverse_events"),
+        "CarePlan": lambda: job("tumour_boards"),
+        "List": lambda: job("evidence_lists"),
     }
-    if cfg.create_patients:
-        tables["Patient"] = R.map_patients(reports, cfg, patient_group)
-    return tables
+    wanted = [kind for kind in types or RESOURCE_TYPES if kind != "Patient" or cfg.create_patients]
+    return {kind: makers[kind]() for kind in wanted}
 
 
 def to_envelopes(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oncolake import schemas
 from oncolake.config import MappingConfig
-from oncolake.functions.codes import make_coding, many, one, reference
+from oncolake.functions.codes import constant_or_column, make_coding, many, one, reference
 from oncolake.functions.dates import report_partial_date
 from oncolake.functions.ids import resource_id, slugify
 
@@ -123,13 +123,12 @@ def typed(
         "source_section": source_section if source_section is not None else F.col("section"),
     }
     for name in KEYS[: KEYS.index("condition_id")]:
-        common[name] = F.col(name) if name in have else F.lit(None)
+        common[name] = F.col(name) if name in have else None
     unknown = set(columns) - set(fields)
     if unknown:
         raise KeyError(f"no such fields of {resource_type}: {sorted(unknown)}")
-    declared = [
-        (common[name]).cast(kind).alias(name) for name, kind in schemas.COMMON.items()
-    ] + [columns.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in fields.items()]
+    declared = [constant_or_column(n, kind, common[n]) for n, kind in schemas.COMMON.items()]
+    declared += [constant_or_column(n, kind, columns.get(n)) for n, kind in fields.items()]
     return keyed.select(*declared)
 
 
