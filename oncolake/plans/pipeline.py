@@ -65,11 +65,14 @@ def run_job(reports: DataFrame, job: str, cfg: MappingConfig = DEFAULT, **maps)
 
 
 def map_observations(
-    reports: DataFrame, cfg: MappingConfig = DEFAULT, classification_map: DataFrame | None = None
+    reports: DataFrame,
+    cfg: MappingConfig = DEFAULT,
+    classification_map: DataFrame | None = None,
+    jobs: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """All observations in one table."""
+    """All observations (or those of some jobs) in one table."""
     tables = []
-    for job in OBSERVATION_JOBS:
+    for job in jobs or OBSERVATION_JOBS:
         maps = {"code_map": classification_map} if job == "classifications" else {}
         tables.append(run_job(reports, job, cfg, **maps))
     return reduce(DataFrame.unionByName, tables)
@@ -94,6 +97,7 @@ def map_all(
     classification_map: DataFrame | None = None,
     patient_group: tuple[str, ...] = ("patient_id",),
     types: tuple[str, ...] | None = None,
+    observation_jobs: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
     """Every resource table (or those of some types), keyed by resource type.
 
@@ -103,7 +107,7 @@ def map_all(
     makers = {
         "Patient": lambda: R.map_patients(reports, cfg, patient_group),
         "Condition": lambda: R.map_conditions(reports, cfg).unionByName(job("earlier_tumours")),
-        "Observation": lambda: map_observations(reports, cfg, classification_map),
+        "Observation": lambda: map_observations(reports, cfg, classification_map, observation_jobs),
         "Procedure": lambda: map_procedures(reports, cfg),
         "MedicationStatement": lambda: job("medication_statements", drug_map=drug_map),
         "Medication": lambda: job("medications", drug_map=drug_map),

@@ -1224,11 +1224,11 @@ QUERIES["failing_regex"] = _failing(6)
 QUERIES["failing_unique"] = _failing(7)
 
 
-def _suite_query(suite, *kinds):
+def _suite_query(suite, *kinds, jobs=None):
     def run(spark, sf):
         rows = stage_table(reports(spark, sf, *kinds), "reports", ["sections"])
         types = tuple(V.BASE_TABLES[name] for name in V.NEEDS[suite])
-        base = V.views_from_tables(P.map_all(rows, CFG, types=types), CFG)
+        base = V.views_from_tables(P.map_all(rows, CFG, types=types, observation_jobs=jobs), CFG)
         result = Q.run_suites({suite: V.joined_view(suite, base, CFG)}, AS_OF, CFG)
         return result.select("suite", "expectation", "evaluated", "unexpected")
 
@@ -1239,11 +1239,15 @@ QUERIES["suite_conditions"] = _suite_query("conditions", "SYST", "Tod")
 QUERIES["suite_procedures"] = _suite_query("procedures", "OP", "Tod")
 QUERIES["suite_medication_statements"] = _suite_query("medication_statements", "SYST")
 QUERIES["suite_condition_procedure"] = _suite_query("condition_procedure", "OP")
-QUERIES["suite_observations"] = _suite_query("observations", "Tod", "SYST")
-QUERIES["suite_metastases"] = _suite_query("metastases", "Pathologie")
-QUERIES["suite_performance_death"] = _suite_query("performance_death", "Verlauf", "Tod")
-QUERIES["suite_death_completeness"] = _suite_query("death_completeness", "Tod")
-QUERIES["suite_death_dates"] = _suite_query("death_dates", "Tod")
+QUERIES["suite_observations"] = _suite_query(
+    "observations", "Tod", "SYST", jobs=("study_participation", "deaths")
+)
+QUERIES["suite_metastases"] = _suite_query("metastases", "Pathologie", jobs=("metastases",))
+QUERIES["suite_performance_death"] = _suite_query(
+    "performance_death", "Verlauf", "Tod", jobs=("performance_status", "deaths")
+)
+QUERIES["suite_death_completeness"] = _suite_query("death_completeness", "Tod", jobs=("deaths",))
+QUERIES["suite_death_dates"] = _suite_query("death_dates", "Tod", jobs=("deaths",))
 
 
 @query
