@@ -913,8 +913,8 @@ def suite(name: str, view: str, rules: list[tuple[str, str, str]], where: str, *
         for rule, looked, bad in rules
     ]
     rows += [
-        f"SELECT '{name}', '{rule}', CAST(coalesce(sum(n), 0) AS BIGINT), "
-        f"CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM v WHERE {looked} GROUP BY {columns})"
+        f"SELECT '{name}' AS suite, '{rule}' AS expectation, CAST(coalesce(sum(n), 0) AS BIGINT) AS evaluated, "
+        f"CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS unexpected FROM (SELECT count(*) AS n FROM v WHERE {looked} GROUP BY {columns})"
         for rule, looked, columns in unique
     ]
     return mapping(" UNION ALL ".join(rows), _PAT.format(where), *ctes, f"v AS ({view})")
@@ -1081,3 +1081,99 @@ ORACLE["diagnoses_per_year"] = mapping(
       count(*) FILTER (WHERE icd = 'C61' AND sex <> 'M') AS not_male FROM latest GROUP BY 1, 2""",
     _LATEST,
 )
+
+
+# ---- sections and whole bundles, from the job results above ----------------------------------------
+
+
+def _urls(section: str, jobs: dict[str, str]) -> str:
+    """Type and id of everything a section gives rise to."""
+    parts = []
+    number = KINDS.index(section)
+    for job, kind in jobs.items():
+        parts.append(
+            f"SELECT '{kind}' AS resource_type, id FROM ({ORACLE['map_' + job]}) "
+            f"WHERE contains(report_id, '_{number}/')"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _section(section: str, jobs: dict[str, str]) -> str:
+    return (
+        "SELECT resource_type, count(*) AS resources, count(DISTINCT id) AS urls "
+        f"FROM ({_urls(section, jobs)}) GROUP BY 1"
+    )
+
+
+def _typed(names: str, kind: str = "Observation") -> dict[str, str]:
+    return dict.fromkeys(names.split(), kind)
+
+
+_CLINICAL = "metastases grading lymph_nodes genetic_variants tnm prostate_module gleason classifications"
+SECTION_JOBS = {
+    "Diagnose": _typed(f"performance_status study_participation {_CLINICAL}")
+    | {"specimens": "Specimen", "evidence_lists": "List", "earlier_tumours": "Condition"},
+    "Verlauf": _typed(f"progress performance_status course_histology study_participation {_CLINICAL}")
+    | {"specimens": "Specimen"},
+    "SYST": {
+        "systemic_procedures": "Procedure",
+        "medication_statements": "MedicationStatement",
+        "medications": "Medication",
+        "study_participation": "Observation",
+        "adverse_events": "AdverseEvent",
+    },
+    "ST": {
+        "radiotherapy": "Procedure",
+        "study_participation": "Observation",
+        "adverse_events": "AdverseEvent",
+    },
+    "OP": _typed(
+        "residual_status course_histology grading lymph_nodes study_participation genetic_variants "
+        "tnm prostate_module gleason"
+    )
+    | {"surgeries": "Procedure", "specimens": "Specimen"},
+    "Pathologie": _typed(f"course_histology {_CLINICAL}")
+    | {"specimens": "Specimen", "pathology_reports": "DiagnosticReport"},
+    "Tod": _typed("deaths"),
+    "Tumorkonferenz": {"tumour_boards": "CarePlan"},
+}
+for _name, _kind in (
+    ("diagnosis", "Diagnose"),
+    ("progress", "Verlauf"),
+    ("systemic", "SYST"),
+    ("radiotherapy", "ST"),
+    ("surgery", "OP"),
+    ("pathology", "Pathologie"),
+    ("death", "Tod"),
+    ("board", "Tumorkonferenz"),
+):
+    ORACLE[f"section_{_name}"] = _section(_kind, SECTION_JOBS[_kind])
+
+_PICKED = ORACLE["consolidated_reports"]
+
+
+def _of_picked(job: str) -> str:
+    """A job's result over the reports that survive consolidation."""
+    return ORACLE[f"map_{job}"].replace(
+        " FROM vals)", f" FROM vals WHERE export_id IN (SELECT export_id FROM ({_PICKED})))", 1
+    )
+
+
+_TYPES = {job: kind for jobs in SECTION_JOBS.values() for job, kind in jobs.items()}
+_ENTRIES = " UNION ALL ".join(
+    f"SELECT report_id, '{kind}/' || id AS url FROM ({_of_picked(job)})" for job, kind in _TYPES.items()
+)
+ORACLE["bundles_pipeline"] = (
+    f"WITH picked AS ({_PICKED}), urls AS ({_ENTRIES}) "
+    "SELECT patient_id, tumor_id, 0 AS part, CAST(2 + count(DISTINCT url) AS INTEGER) AS entries, "
+    "'Patient/' || " + sid("patient-id", "patient_id") + " || ' - Condition/' || "
+    + sid("primaerdiagnose-condition-id", "patient_id || '-' || tumor_id")
+    + " AS bundle_key FROM picked LEFT JOIN urls USING (report_id) GROUP BY 1, 2"
+)
+ORACLE["bundles_to_views"] = mapping(
+    f"""SELECT id, pref AS subject, start AS effective, coalesce(dcause, '') AS cause FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY report_id DESC) AS pick FROM (
+        SELECT *, {sid('tod-observation-id', slug('dvalue'))} AS id FROM dea)) WHERE pick = 1""",
+    _LATEST,
+    _DEATHS.replace("FROM rep,", "FROM latest rep,").replace("FROM rep WHERE", "FROM latest rep WHERE"),
+)

@@ -132,7 +132,7 @@ def to_envelopes(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) ->
     return reduce(DataFrame.unionByName, parts)
 
 
-# The sections whose branches the reference document calls by name.
+# The jobs of each section.
 SECTION_JOBS = {
     "Diagnose": "performance_status metastases specimens grading lymph_nodes study_participation "
     "genetic_variants tnm prostate_module classifications evidence_lists earlier_tumours",
@@ -162,20 +162,38 @@ _JOB_TYPE = {
 }
 
 
+def _section_tables(
+    reports: DataFrame, section: str, cfg: MappingConfig, **maps: DataFrame
+) -> list[tuple[str, DataFrame]]:
+    """Resource type and rows of every job of a section."""
+    rows = with_sections(reports, (section,))
+    tables = []
+    for job in SECTION_JOBS[section].split():
+        extra = {}
+        if job in ("medication_statements", "medications"):
+            extra = {"drug_map": maps.get("drug_map")}
+        if job == "classifications":
+            extra = {"code_map": maps.get("classification_map")}
+        table = getattr(R, f"map_{job}")(rows, cfg, **extra)
+        tables.append(
+            (_JOB_TYPE.get(job, "Observation"), table.filter(F.col("source_section") == section))
+        )
+    return tables
+
+
+def _envelopes_by_type(tables: list[tuple[str, DataFrame]], cfg: MappingConfig) -> DataFrame:
+    """Tables of one type are put together first, so that a type's JSON is built once."""
+    grouped: dict[str, list[DataFrame]] = {}
+    for kind, table in tables:
+        grouped.setdefault(kind, []).append(table)
+    return to_envelopes(
+        {kind: reduce(DataFrame.unionByName, parts) for kind, parts in grouped.items()}, cfg
+    )
+
+
 def _section_mapper(section: str) -> Callable[..., DataFrame]:
     def map_section(reports: DataFrame, cfg: MappingConfig = DEFAULT, **maps: DataFrame) -> DataFrame:
-        rows = with_sections(reports, (section,))
-        parts = []
-        for job in SECTION_JOBS[section].split():
-            extra = {}
-            if job in ("medication_statements", "medications"):
-                extra = {"drug_map": maps.get("drug_map")}
-            if job == "classifications":
-                extra = {"code_map": maps.get("classification_map")}
-            table = getattr(R, f"map_{job}")(rows, cfg, **extra)
-            own = table.filter(F.col("source_section") == section)
-            parts.append(to_envelope(own, _JOB_TYPE.get(job, "Observation"), cfg))
-        return reduce(DataFrame.unionByName, parts)
+        return _envelopes_by_type(_section_tables(reports, section, cfg, **maps), cfg)
 
     map_section.__doc__ = f"Envelopes of everything the {section} section of a report gives rise to."
     return map_section
@@ -193,9 +211,10 @@ map_board_section = _section_mapper("Tumorkonferenz")
 
 def dispatch_sections(reports: DataFrame, cfg: MappingConfig = DEFAULT, **maps: DataFrame) -> DataFrame:
     """Envelopes of the conditions and of every section present."""
-    parts = [to_envelope(R.map_conditions(reports, cfg), "Condition", cfg)]
-    parts += [_section_mapper(section)(reports, cfg, **maps) for section in SECTION_JOBS]
-    return reduce(DataFrame.unionByName, parts)
+    tables = [("Condition", R.map_conditions(reports, cfg))]
+    for section in SECTION_JOBS:
+        tables += _section_tables(reports, section, cfg, **maps)
+    return _envelopes_by_type(tables, cfg)
 
 
 def report_checks() -> dict[str, Column]:

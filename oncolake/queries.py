@@ -1001,7 +1001,8 @@ def patient_policy(spark, sf):
 def _section_counts(mapper, *kinds):
     def run(spark, sf):
         maps = {"drug_map": drug_map(spark, sf), "classification_map": classification_map(spark, sf)}
-        rows = mapper(reports(spark, sf, *kinds), CFG, **maps)
+        staged = stage_table(reports(spark, sf, *kinds), "reports")
+        rows = mapper(staged, CFG, **maps)
         return rows.groupBy("resource_type").agg(
             F.count(F.lit(1)).alias("resources"), F.count_distinct("full_url").alias("urls")
         )
@@ -1009,6 +1010,8 @@ def _section_counts(mapper, *kinds):
     return run
 
 
+QUERIES["section_diagnosis"] = _section_counts(P.map_diagnosis_section, "Diagnose")
+QUERIES["section_pathology"] = _section_counts(P.map_pathology_section, "Pathologie")
 QUERIES["section_progress"] = _section_counts(P.map_progress_section, "Verlauf")
 QUERIES["section_systemic"] = _section_counts(P.map_systemic_section, "SYST")
 QUERIES["section_radiotherapy"] = _section_counts(P.map_radiotherapy_section, "ST")
@@ -1069,7 +1072,9 @@ def provenance_targets(spark, sf):
     envelopes = to_envelope(R.map_conditions(rows, CFG), "Condition", CFG).unionByName(
         to_envelope(R.map_tumour_boards(rows, CFG), "CarePlan", CFG)
     )
-    single = K.pick_by_key(envelopes, ["patient_id", "report_id", "full_url"], ["emit_seq", "rank_key"])
+    single = K.pick_by_key(
+        envelopes, ["patient_id", "tumor_id", "report_id", "full_url"], ["emit_seq", "rank_key"]
+    )
     made = B.add_provenance(single, CFG, F.lit("2000-01-01").cast("timestamp"))
     return made.select(
         "id", "identifier_value", "report_id", F.concat_ws(",", "target_refs").alias("targets"), "agent_device"
@@ -1252,8 +1257,8 @@ QUERIES["suite_death_dates"] = _suite_query("death_dates", "Tod", jobs=("deaths"
 
 @query
 def bundles_to_views(spark, sf):
-    """Board bundles as JSON text, read back into resources and counted by type."""
-    rows = reports(spark, sf, "Tod")
+    """Bundles of death reports as JSON text, read back into observation rows."""
+    rows = stage_table(K.retain_latest_version(reports(spark, sf, "Tod")), "reports")
     envelopes = P.to_envelopes(
         {"Patient": R.map_patients(rows, CFG), "Condition": R.map_conditions(rows, CFG),
          "Observation": R.map_deaths(rows, CFG)}, CFG,
