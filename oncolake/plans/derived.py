@@ -586,6 +586,12 @@ def _sections() -> dict[str, str]:
     }
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the scan has fewer splits; expanding orders to documents is costly."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def derived_documents(
     spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = KINDS
 ) -> DataFrame:
@@ -596,7 +602,7 @@ def derived_documents(
     """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    joined = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    joined = _spread(orders).join(customers, orders["o_custkey"] == customers["c_custkey"])
     source = joined.select(*[F.expr(sql).alias(name) for name, sql in SOURCE.items()])
     if set(kinds) != set(KINDS):
         source = source.filter(F.col("kind").isin([KINDS.index(k) for k in kinds]))
