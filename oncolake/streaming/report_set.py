@@ -171,3 +171,16 @@ def emit_updates(
         publish(current.drop("batch_id", "retracted"), batch_id)
 
     return changes.writeStream.outputMode("update").foreachBatch(write)
+
+
+def compact_changelog(spark, changelog: str, target: str) -> None:
+    """Rewrite a changelog as its current reports only, so that reading back stays cheap.
+
+    Written to a new folder; switch to it between two runs of the stream.
+    """
+    written = spark.read.parquet(changelog)
+    current = latest_by_key(
+        written, ["patient_id", "report_id"], ["batch_id"], F.col("retracted")
+    )
+    batch = current.drop("batch").withColumn("batch", F.lit(0))
+    batch.write.mode("overwrite").partitionBy("batch", "bucket").parquet(target)
