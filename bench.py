@@ -35,6 +35,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "20g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Wide generated methods are not compiled by the JVM; smaller ones per operator are.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -664,15 +664,28 @@ BODIES = {
 }
 
 
+def _carries_decimal(kind: str) -> Column | None:
+    """Which rows of a type have a decimal in their JSON; none for most types."""
+    if kind == "Observation":
+        return (F.col("value_kind") == "quantity") | F.col("kind").startswith("gleason")
+    if kind == "Procedure":
+        return F.col("single_dose").isNotNull() | F.col("total_dose").isNotNull()
+    return None
+
+
 def resource_json(kind: str, cfg: MappingConfig = DEFAULT) -> Column:
     """JSON text of a resource of one type from the columns of its table.
 
     Decimals lose the zeros their fixed scale adds.
     """
     body = F.to_json(_object(**BODIES[kind](cfg)))
-    return F.regexp_replace(
+    decimal = _carries_decimal(kind)
+    if decimal is None:
+        return body
+    trimmed = F.regexp_replace(
         body, r'("(?:value|valueDecimal)":-?\d+)(?:\.0+|(\.\d*?[1-9])0+)(?=[,}])', "$1$2"
     )
+    return F.when(decimal, trimmed).otherwise(body)
 
 
 def to_envelope(table: DataFrame, kind: str, cfg: MappingConfig = DEFAULT) -> DataFrame:
