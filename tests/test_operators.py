@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from oncolake.operators import bundles, consolidate, patient_reference, staging
+from oncolake.operators import bundles, consolidate, deidentify, patient_reference, staging
 from oncolake.operators.reports import normalize_patient_id
 
 
@@ -103,3 +103,29 @@ def test_existing_patient_lookup(spark):
     rows = patient_reference.patient_reference(patients, strategy="existing", lookup=known).collect()
     got = {r["patient_id"]: (r["patient_ref"], r["patient_ref_error"] is None) for r in rows}
     assert got == {"1": ("Patient/a", True), "2": (None, False), "3": (None, True)}
+
+
+def test_deidentify_hashes_every_identifier_and_drops_conclusions(spark):
+    import json
+
+    body = {
+        "resourceType": "DiagnosticReport",
+        "id": "a",
+        "identifier": [{"system": "urn:any", "value": "secret \"1\""}],
+        "accessionIdentifier": {"value": "E-1"},
+        "subject": {"reference": "Patient/p", "identifier": {"system": "urn:p", "value": "77"}},
+        "conclusion": "text with \"quotes\" and 77",
+        "status": "final",
+    }
+    row = ("77", "T", "r", "DiagnosticReport", "a", "DiagnosticReport/a", "x", "Patient/p", json.dumps(body, separators=(",", ":")))
+    schema = (
+        "patient_id string, tumor_id string, report_id string, resource_type string, id string, "
+        "full_url string, identifier_value string, subject_ref string, resource_json string"
+    )
+    (hidden,) = deidentify.deidentify(spark.createDataFrame([row], schema), "key").collect()
+    made = json.loads(hidden["resource_json"])
+    assert "conclusion" not in made and made["status"] == "final" and made["id"] == hidden["id"]
+    assert made["subject"]["reference"] == hidden["subject_ref"] != "Patient/p"
+    assert made["subject"]["identifier"]["value"] == hidden["patient_id"]
+    hashed = [made["identifier"][0]["value"], made["accessionIdentifier"]["value"]]
+    assert all(len(v) == 64 for v in hashed) and made["identifier"][0]["system"] == "urn:any"
