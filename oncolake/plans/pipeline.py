@@ -218,7 +218,7 @@ def dispatch_sections(reports: DataFrame, cfg: MappingConfig = DEFAULT, **maps:
 
 
 def report_checks() -> dict[str, Column]:
-    """Conditions under which a report cannot be mapped and goes to quarantine."""
+    """Conditions (or error texts) under which a report cannot be mapped and goes to quarantine."""
     report = F.col("report")
     blank = lambda value: value.isNull() | (F.trim(value) == "")
 
@@ -226,7 +226,6 @@ def report_checks() -> dict[str, Column]:
         return report[section].isNotNull() & blank(report[section][field])
 
     checks = {
-        "document is not well-formed": F.col("parse_error").isNotNull(),
         "patient id does not match": F.col("patient_id_error").isNotNull(),
         "patient reference is ambiguous": F.col("patient_ref_error").isNotNull(),
         "report without tumour assignment": report.isNotNull() & blank(F.col("tumor_id")),
@@ -252,7 +251,8 @@ def report_checks() -> dict[str, Column]:
         checks[f"Gleason score of {section} does not match"] = score.isNotNull() & ~F.coalesce(
             text.rlike(r"^\d{1,2}[ab]?$"), F.lit(False)
         )
-    return {name: F.coalesce(check, F.lit(False)) for name, check in checks.items()}
+    rules = {name: F.coalesce(check, F.lit(False)) for name, check in checks.items()}
+    return {"unreadable": F.col("parse_error"), **rules}
 
 
 def prepare_documents(

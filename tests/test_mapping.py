@@ -28,13 +28,14 @@ def resources(spark):
         ("007", 1, X.document("9", X.report("X1", X.death()), X.report("X2", X.death("2023-04-05")))),
         ("008", 1, X.document("9", X.report("B1", X.BOARD))),
         ("009", 1, "<oBDS"),
+        ("010", 1, '<ADT_GEKID Schema_Version="2.2.1"><Absender/></ADT_GEKID>'),
     ]
     raw = spark.createDataFrame(rows, "export_id string, version int, xml string")
     drugs = spark.createDataFrame([("Bicalutamid", "L02BB03")], "name string, atc_code string")
     bundles, bad = pipeline.reports_to_bundles(raw, CFG, drug_map=drugs)
     made = bundles.collect()
     assert len(made) == 1 and made[0]["part"] == 0
-    assert [r["error"] for r in bad.collect()] == ["document is not well-formed"]
+    assert sorted(r["error"] for r in bad.collect()) == ["document is not well-formed", "legacy report format"]
     bundle = json.loads(made[0]["bundle_json"])
     assert made[0]["bundle_key"].startswith(f"Patient/{bundle['id']} - Condition/")
     for entry in bundle["entry"]:
