@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm import byte_bpe, decontaminate, minhash, pii, quality
+from oncolake.llm.shipping import small_batches
 from oncolake.operators.staging import checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. It learns from the labels of documents in ``docs``."""
+    small_batches(spark)
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score_quality(docs, model, "__score")
     return scored.filter(F.col("__score") >= quality.THRESHOLD).drop("__score")
@@ -24,11 +26,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates: five words, 0.8."""
+    small_batches(spark)
     return minhash.keep_one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    small_batches(spark)
     found = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name="__leaks")
     return found.filter(F.size("__leaks") == 0).drop("__leaks")
 
@@ -45,6 +49,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id with the ids of its text, their number, and digests of ids and decoded bytes."""
+    small_batches(spark)
     encoded = byte_bpe.encode_documents(docs.select("doc_id", "text"), *byte_bpe.multi_50k())
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 

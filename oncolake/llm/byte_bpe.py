@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm.shipping import ship_package
+from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import pieces
 
 #: Pre-tokens kept in a worker's memory, and the longest one kept. They bound memory only: what is
@@ -200,5 +200,6 @@ def multi_50k() -> tuple[bytes, str]:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of tokens and digests of its ids and of the decoded bytes."""
+    small_batches(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return encode_documents(documents, *multi_50k(), with_ids=False).drop("text")

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm.shipping import ship_package
+from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import mix, pieces, utf8
 
 #: Bytes of a q-gram, edits allowed per byte of passage, and the longest passage taken whole.
@@ -230,6 +230,7 @@ def _searcher(index: PassageIndex, kept: list[str], name: str):
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items found in it and the number of regions."""
+    small_batches(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_leaks(documents, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(

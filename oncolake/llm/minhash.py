@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm.graph import components
-from oncolake.llm.shipping import ship_package
+from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import LOWER, mix, pieces, rows_of, span_hashes, utf8, words
 from oncolake.operators.staging import stage_table
 
@@ -238,5 +238,6 @@ def keep_one_of_each(documents: DataFrame, percent: int = 80, size: int = 5) ->
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component at 85 percent of three-word shingles."""
+    small_batches(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(documents, percent=85, size=3)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm import boosting
-from oncolake.llm.shipping import ship_package
+from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import LOWER, pieces, rows_of, span_hashes, utf8, words
 
 #: Rows with labels a model is fitted on at most, picked by a hash of their id.
@@ -164,6 +164,7 @@ def score_quality(documents: DataFrame, model: boosting.Trees, name: str = "scor
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality score, learnt from the rows that are not held out."""
+    small_batches(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_quality(documents, labels)

@@ -1,4 +1,4 @@
-"""Make this package importable in Python workers, wherever the driver was started."""
+"""What a session needs for the Python functions of this subpackage."""
 
 from __future__ import annotations
 
@@ -31,3 +31,11 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, os.path.dirname(top)))
     context.addPyFile(archive)
     _SHIPPED.add(context.applicationId)
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bound Arrow batches by bytes, for texts of any length: memory only, results are the same.
+
+    Queries and pipeline stages call this; operators leave the session alone.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
