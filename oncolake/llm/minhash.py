@@ -131,14 +131,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - both
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.filter(F.lit(100) * both >= F.lit(percent) * union).select("a", "b")
+    return joined.filter(_allowed(both, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def _sized(percent: int, one: str, other: str) -> Column:
-    """Set sizes that allow the similarity at all."""
-    return (F.lit(100) * F.least(one, other)) >= (F.lit(percent) * F.greatest(one, other))
+def _hopeful(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, common) of the sets that may be similar enough to another one at all.
+
+    ``common`` counts the shingles that some other set has too. An intersection holds only such
+    shingles, so a set of which less than the wanted share is common has no link.
+    """
+    shingle = sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    own = shingle.groupBy("shingle").agg(F.count(F.lit(1)).alias("found"), F.min("doc_id").alias("rep"))
+    own = own.filter("found = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").cast("long").alias("n"))
+    common = F.col("n") - F.coalesce("own", F.lit(0))
+    found = sizes.join(own, "rep", "left").select("rep", "n", common.alias("common"))
+    return found.filter(F.lit(100) * F.col("common") >= F.lit(percent) * F.col("n"))
+
+
+def _against_pivots(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For pairs (rep, p): the size of the intersection, and a bit per shingle of p that rep has."""
+    left = sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("doc_id").alias("p"), F.col("shingles").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both, bits = [], []
+            x, y = batch.column(2), batch.column(3)
+            for one, other in zip(x, y):
+                has = np.isin(other.values.to_numpy(), one.values.to_numpy(), assume_unique=True)
+                both.append(int(has.sum()))
+                packed = np.packbits(np.append(has, np.zeros(-len(has) % 64, bool)))
+                bits.append(packed.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(both, pa.int64()),
+                 pa.array(bits, pa.list_(pa.int64()))],
+                names=["rep", "p", "both", "bits"],
+            )
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    rows = pairs.join(left, "rep").join(right, "p").select("rep", "p", "x", "y")
+    return rows.mapInArrow(run, f"rep {kind}, p {kind}, both long, bits array<long>")
+
+
+def _allowed(both: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether an intersection of this size makes sets of n and m shingles similar enough."""
+    return F.lit(100) * both >= F.lit(percent) * (n + m - both)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
@@ -146,10 +185,11 @@ def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5) -> D
 
     Documents are linked if 100 * intersection >= percent * union of their sets of ``size``-word
     shingles. Rows of equal sets count as one class; the class, represented by its smallest doc_id,
-    is looked up once. Every table bucket ties its members to one of them by a pair, the largest
-    set's document; members that this does not join are compared with all members of other
-    components of the bucket in a second step, so no link is lost by the short cut and a bucket of
-    many similar texts costs as many pairs as it has texts. Null and empty texts have no shingles,
+    is looked up once. Sets with too many shingles of their own are proven to have no link. Every
+    table bucket ties its members to one of them by a pair; members that this does not join are
+    compared with the members of other components of the bucket in a second step, where common
+    shingles allow a link. So no link is lost by the short cut, and a bucket of many similar texts
+    costs about as many pairs as it has texts. Null and empty texts have no shingles,
     are linked with nothing and kept. Rows of a repeated doc_id count as one document, by the row of
     the largest set, and each of them is returned with its own n_shingles and the common component;
     rows of a null doc_id are linked with nothing and kept. Only ``doc_id`` and ``text`` are read.
@@ -172,39 +212,57 @@ def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5) -> D
     keys = F.flatten(
         F.transform(first, lambda x, i: F.transform(second, lambda y, j: F.xxhash64(x, y, i * HALVES + j)))
     )
-    keyed = classes.select(F.col("rep"), F.col("n_shingles").alias("n"), F.explode(keys).alias("key"))
-    # A bucket's pivot is its largest set; buckets of one member drop out before anything is joined.
-    pivots = keyed.groupBy("key").agg(
-        F.max(F.struct("n", "rep")).alias("pivot"), F.count(F.lit(1)).alias("members")
-    )
-    pivots = pivots.filter("members > 1").select(
-        "key", F.col("pivot.rep").alias("p"), F.col("pivot.n").alias("pn"), "members"
+    keyed = classes.select(F.col("rep"), F.explode(keys).alias("key"))
+    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = stage_table(keyed.join(crowded, "key", "left_semi"), "buckets")
+    wanted = documents.select("doc_id", "text").join(
+        shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
     )
-    shared = stage_table(keyed.join(pivots, "key"), "buckets")
-    star = shared.filter(F.col("rep") != F.col("p")).filter(_sized(percent, "n", "pn"))
-    star = star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-    star = stage_table(star, "star")
-    ids = star.select(F.col("a").alias("doc_id")).unionAll(shared.select("rep")).distinct()
-    wanted = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = stage_table(_sets(wanted, size), "sets")
-    links = stage_table(_confirmed(star, sets, percent), "links")
-    joined = components(links)
+    hopeful = stage_table(_hopeful(sets, percent), "hopeful")
+    # A bucket's pivot is the member that has the least of its own.
+    member = shared.join(hopeful, "rep").select("key", F.struct("rep", "n", "common").alias("m"))
+    order = F.struct(F.col("m.common") / F.col("m.n"), F.col("m.n"), F.col("m.rep"))
+    pivots = member.groupBy("key").agg(F.max_by("m", order).alias("p"), F.count(F.lit(1)).alias("members"))
+    member = stage_table(member.join(pivots.filter("members > 1"), "key"), "members")
+    others = member.filter("m.rep != p.rep")
+    star = others.select("m.rep", F.col("p.rep").alias("p")).distinct()
+    facts = stage_table(_against_pivots(star, sets), "facts")
+    sized = others.select("m.rep", F.col("p.rep").alias("p"), "m.n", F.col("p.n").alias("pn")).distinct()
+    linked = facts.join(sized, ["rep", "p"]).filter(_allowed(F.col("both"), F.col("n"), F.col("pn"), percent))
+    links = stage_table(linked.select(F.col("rep").alias("a"), F.col("p").alias("b")), "links")
+    joined = stage_table(components(links), "joined")
     # Second step: members of a bucket outside its pivot's component against the other members.
-    state = shared.filter("members > 2").join(joined, shared["rep"] == joined["node"], "left").select(
-        "key", "rep", "n", "p", F.coalesce("component", "rep").alias("c")
+    joined = joined.withColumnRenamed("node", "rep")
+    state = others.filter("members > 2").select("key", "m.*", F.col("p.rep").alias("p"))
+    state = state.join(facts, ["rep", "p"]).join(joined, "rep", "left")
+    home = joined.select(F.col("rep").alias("p"), F.col("component").alias("home"))
+    state = state.join(home, "p", "left").select(
+        "key",
+        F.struct(
+            "rep", "n", "common", "bits", (F.col("common") - F.col("both")).alias("rest"),
+            F.coalesce("component", "rep").alias("c"),
+        ).alias("m"),
+        F.coalesce("home", "p").alias("home"),
+    )
+    state = stage_table(state, "state")
+    outside = state.filter("m.c != home").select("key", "m")
+    inside = state.select("key", F.col("m").alias("o"))
+    # Both are compared with the same pivot: the shingles of it that they share, and those that
+    # others have too but the pivot lacks, bound the intersection.
+    m, o = F.col("m"), F.col("o")
+    within = F.aggregate(
+        F.zip_with("m.bits", "o.bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda t, x: t + x
     )
-    home = state.filter(F.col("rep") == F.col("p")).select("key", F.col("c").alias("pc"))
-    state = stage_table(state.join(home, "key"), "state")
-    outside = state.filter(F.col("c") != F.col("pc")).select("key", "rep", "n", "c")
-    inside = state.filter(F.col("rep") != F.col("p")).select(
-        "key", F.col("rep").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc")
+    extra = outside.join(inside, "key").filter(
+        (m["c"] != o["c"])
+        & _allowed(F.least("m.common", "o.common"), m["n"], o["n"], percent)
+        & _allowed(within + F.least("m.rest", "o.rest"), m["n"], o["n"], percent)
     )
-    # The components differ, so no pair of the first step comes again; sizes rule out most others.
-    extra = outside.join(inside, "key").filter((F.col("c") != F.col("oc")) & _sized(percent, "n", "on"))
-    extra = extra.select(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).distinct()
+    extra = extra.select(F.least("m.rep", "o.rep").alias("a"), F.greatest("m.rep", "o.rep").alias("b")).distinct()
     more = stage_table(_confirmed(extra, sets, percent), "links")
     if more.isEmpty():
-        reached = joined
+        reached = joined.withColumnRenamed("rep", "node")
     else:
         reached = components(links.unionAll(more))
     group = classes.join(reached, classes["rep"] == reached["node"], "left").select(
