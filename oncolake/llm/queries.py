@@ -9,6 +9,7 @@ from oncolake.llm.minhash import op10_minhash
 from oncolake.llm.pages import op9_html_extract
 from oncolake.llm.pii import op5_pii
 from oncolake.llm.quality import op6_quality_classifier
+from oncolake.llm.suffixes import op8_suffix_dedup
 from oncolake.llm.topk import OP3_SQL, op3_exact_top_k
 from oncolake.llm.viterbi import op7_token_counts
 
@@ -16,7 +17,8 @@ QUERIES = {
     function.__name__: function
     for function in (
         op1_chat_format, op2_decontaminate, op3_exact_top_k, op4_byte_bpe, op5_pii,
-        op6_quality_classifier, op7_token_counts, op9_html_extract, op10_minhash,
+        op6_quality_classifier, op7_token_counts, op8_suffix_dedup, op9_html_extract,
+        op10_minhash,
     )
 }
 ORACLE = {"op1_chat_format": OP1_SQL, "op3_exact_top_k": OP3_SQL}
