@@ -32,7 +32,7 @@ from oncolake.operators.staging import stage_table
 
 #: Bytes of an anchor's q-gram, text bytes in a run, and text bytes that a bucket stands for. The last
 #: two set memory per task and numbers of rows; no result depends on them.
-Q, RUN_BYTES, BUCKET_BYTES = 16, 8 << 20, 16 << 20
+Q, RUN_BYTES, BUCKET_BYTES = 16, 8 << 20, 4 << 20
 KEY_BITS = 40
 _OTHER = np.random.default_rng(11).permutation(256).astype(np.uint8)
 
@@ -66,36 +66,37 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int):
     The least of the q-grams of a window by 32 hash bits, the leftmost of equal ones, so that the
     choice depends on the window's bytes alone. Windows do not cross rows.
     """
-    count = len(data) - Q + 1
-    if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
+    empty = (np.uint64, np.int64, np.int64, np.int64, np.int64)
+    found = [tuple(np.zeros(0, kind) for kind in empty)]
     data = np.ascontiguousarray(data)
-    head = np.ndarray((count,), "<u8", data, 0, (1,))
-    tail = np.ndarray((count,), "<u8", data, Q - 8, (1,))
-    code = mix(head ^ (tail * np.uint64(0x9E3779B97F4A7C15)))
-    found = []
     step, width = 1 << 18, length - Q + 1
     for begin in range(0, len(data) - length + 1, step):
+        # A part of all windows at a time; one anchor may come up in two parts, for windows of each.
         end = min(begin + step, len(data) - length + 1)
-        least = code[begin : end + width - 1] & np.uint64(0xFFFFFFFF00000000)
-        least = least | np.arange(len(least), dtype=np.uint64)
+        count = end - begin + width - 1
+        head = np.ndarray((count,), "<u8", data, begin, (1,))
+        tail = np.ndarray((count,), "<u8", data, begin + Q - 8, (1,))
+        code = mix(head ^ (tail * np.uint64(0x9E3779B97F4A7C15)))
+        least = (code & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64)
         done = 1
         while done * 2 <= width:
             least = np.minimum(least[:-done], least[done:])
             done *= 2
         if done < width:
             least = np.minimum(least[: len(least) - (width - done)], least[width - done :])
-        found.append((least & np.uint64(0xFFFFFFFF)).astype(np.int64) + begin)
-    at = np.concatenate(found)
-    window = np.arange(len(at))
-    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[: len(at)]
-    inside = window + length <= starts[row + 1]
-    window, at, row = window[inside], at[inside], row[inside]
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1 if len(at) else first
-    return code[at[first]], at[first], window[first], window[last], row[first]
+        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        window = np.arange(begin, end)
+        row = np.searchsorted(starts, window, "right") - 1
+        inside = window + length <= starts[row + 1]
+        window, at, row = window[inside], at[inside], row[inside]
+        if not len(at):
+            continue
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(at)) - 1
+        found.append((code[at[first]], at[first] + begin, window[first], window[last], row[first]))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
 def _keys(code: np.ndarray) -> np.ndarray:
