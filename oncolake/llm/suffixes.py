@@ -100,7 +100,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int):
 
 
 def _keys(code: np.ndarray) -> np.ndarray:
-    return code >> np.uint64(64 - KEY_BITS)
+    """Keys of anchors, scrambled once more: anchors are least hashes and would crowd the low ranges."""
+    return mix(code ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - KEY_BITS)
 
 
 def _bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -192,7 +193,7 @@ def _sorted_suffixes(data, places, length):
     rows = _slices(data, anchor, sizes, length)
     padded = np.zeros((len(rows), -(-length // 8) * 8), np.uint8)
     padded[:, :length] = rows
-    words = padded.reshape(len(rows), -1, 8).view(">u8")[:, :, 0]
+    words = padded.reshape(len(rows), padded.shape[1] // 8, 8).view(">u8")[:, :, 0]
     order = np.lexsort(words.T[::-1])
     return order, rows[order]
 
