@@ -75,7 +75,7 @@ def fit(
     The result depends on the rows and their weights, not on their order. Without rows the model
     answers one half; with one class only it answers the smoothed share of that class.
     """
-    table = np.asarray(table, float).reshape(len(target), -1)
+    table, target = np.asarray(table, float), np.asarray(target, float)
     weight = np.ones(len(target)) if weight is None else np.asarray(weight, float)
     nodes = 2 ** (depth + 1) - 1
     positive, total = float((weight * target).sum()), float(weight.sum())

@@ -7,6 +7,7 @@ import functools
 import hashlib
 import heapq
 import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,9 @@ from oncolake.llm.textbytes import pieces
 
 #: Pre-tokens kept in a worker's memory, and the longest one kept. They bound memory only: what is
 #: not kept is encoded again.
-CACHE_WORDS, CACHE_LENGTH = 300_000, 40
+CACHE_WORDS, CACHE_LENGTH = 900_000, 40
+#: Bytes of a pre-token up to which a bucket is one bit mask of positions instead of a heap.
+SHORT = 64
 #: Pre-tokens of one text handled at a time.
 CHUNK = 1 << 16
 
@@ -66,6 +69,26 @@ class RankQueue:
         return rank, position
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class WordCache(dict):
+    """What is known of words; computed where missing, and kept for words of bounded length."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, word: str):
+        value = self.compute(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
 class ByteBpe:
     """Encoder and decoder of one rank file; every match of the pattern is encoded separately."""
 
@@ -75,7 +98,7 @@ class ByteBpe:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
-        self.cache: dict[str, bytes] = {}
+        self.cache = WordCache(lambda word: _packed(self.merge(word.encode("utf-8"))))
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token.
@@ -86,6 +109,68 @@ class ByteBpe:
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
+        return self._merge_short(word) if len(word) <= SHORT else self._merge_long(word)
+
+    def _merge_short(self, word: bytes) -> list[int]:
+        """The same with the queue in local names: buckets and groups are bit masks."""
+        known, size = self.ranks.get, len(word)
+        after, before = list(range(1, size + 1)), list(range(-1, size))
+        pair = [-1] * size
+        top, groups, buckets = 0, {}, {}
+        for at in range(size - 1):
+            rank = known(word[at : at + 2])
+            if rank is not None:
+                pair[at] = rank
+                if rank in buckets:
+                    buckets[rank] |= 1 << at
+                else:
+                    buckets[rank] = 1 << at
+                    group = rank >> 8
+                    groups[group] = groups.get(group, 0) | 1 << (rank & 255)
+                    top |= 1 << group
+        while top:
+            low = top & -top
+            group = low.bit_length() - 1
+            bits = groups[group]
+            first = bits & -bits
+            rank = (group << 8) + first.bit_length() - 1
+            places = buckets[rank]
+            place = places & -places
+            if places == place:
+                del buckets[rank]
+                groups[group] = bits ^ first
+                if bits == first:
+                    top ^= low
+            else:
+                buckets[rank] = places ^ place
+            at = place.bit_length() - 1
+            if pair[at] != rank:
+                continue
+            middle = after[at]
+            end = after[middle]
+            after[at], pair[middle] = end, -1
+            if end < size:
+                before[end] = at
+                rank = known(word[at : after[end]])
+            else:
+                rank = None
+            left = before[at]
+            found = ((at, rank),) if left < 0 else ((at, rank), (left, known(word[left:end])))
+            for place, rank in found:
+                if rank is None:
+                    pair[place] = -1
+                    continue
+                pair[place] = rank
+                if rank in buckets:
+                    buckets[rank] |= 1 << place
+                else:
+                    buckets[rank] = 1 << place
+                    group = rank >> 8
+                    groups[group] = groups.get(group, 0) | 1 << (rank & 255)
+                    top |= 1 << group
+        return self._ids(word, after)
+
+    def _merge_long(self, word: bytes) -> list[int]:
         ranks, queue, size = self.ranks, self.queue, len(word)
         after = list(range(1, size + 1)) + [size]
         before = list(range(-1, size))
@@ -111,34 +196,22 @@ class ByteBpe:
                 pair[left] = -1 if new is None else new
                 if new is not None:
                     queue.push(new, left)
-        ids, position = [], 0
+        return self._ids(word, after)
+
+    def _ids(self, word: bytes, after: list[int]) -> list[int]:
+        ids, position, size = [], 0, len(word)
         while position < size:
-            ids.append(ranks[word[position : after[position]]])
+            ids.append(self.ranks[word[position : after[position]]])
             position = after[position]
         return ids
 
-    def _packed(self, word: str) -> bytes:
-        packed = np.array(self.merge(word.encode("utf-8")), "<u4").tobytes()
-        if len(word) <= CACHE_LENGTH:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = packed
-        return packed
-
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        matches = (match.group() for match in self.pattern.finditer(text))
         if len(text) <= CHUNK:
-            matches = iter([self.pattern.findall(text)])
-        else:
-            matches = iter(lambda source=matches: list(itertools.islice(source, CHUNK)), [])
-        known, parts = self.cache.get, []
-        for words in matches:
-            found = list(map(known, words))
-            if None in found:
-                found = [known(w) or self._packed(w) if f is None else f for w, f in zip(words, found)]
-            parts.append(b"".join(found))
-        return b"".join(parts)
+            return b"".join(map(self.cache.__getitem__, self.pattern.findall(text)))
+        matches = (match.group() for match in self.pattern.finditer(text))
+        parts = iter(lambda: list(itertools.islice(matches, CHUNK)), [])
+        return b"".join(b"".join(map(self.cache.__getitem__, part)) for part in parts)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that packed ids stand for."""

@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncolake.llm.byte_bpe import WordCache
 from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import pieces
 
 #: Sign that stands for a space, and what an unknown character costs beyond the worst piece. Both are
 #: fixed values of the tokenizer format.
 SPACE, PENALTY = "▁", 10.0
-CACHE_WORDS, CACHE_LENGTH = 300_000, 40
+#: Characters up to which a text is cut at once.
+CHUNK = 1 << 18
 
 
 class UnigramCounter:
@@ -37,7 +39,7 @@ class UnigramCounter:
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in vocabulary), default=0.0) - PENALTY
         self.bytes_known = bytes_known
-        self.cache: dict[str, tuple[int, float]] = {}
+        self.cache = WordCache(lambda part: self.best(part)[0])
         # Where no piece can cross, a text may be cut: before a space sign, if pieces have it only at
         # their front, and around characters that are in no longer piece. Cuts need whole scores, as
         # their sums do not depend on the order of addition.
@@ -49,7 +51,7 @@ class UnigramCounter:
         self.parts = re.compile(cut if whole and front else r"(?s).+")
 
     def best(self, text: str) -> tuple[int, float]:
-        """Number of pieces and score of the best segmentation of a whole text."""
+        """Number of pieces and score of the best segmentation of a text without cuts."""
         size = len(text)
         score, count, unknown = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
         matches = self.automaton.iter(text)
@@ -73,24 +75,14 @@ class UnigramCounter:
             score[end], count[end] = top, pieces_
         return count[size], score[size]
 
-    def _part(self, part: str) -> tuple[int, float]:
-        known = self.best(part)
-        if len(part) <= CACHE_LENGTH:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[part] = known
-        return known
-
-    def count(self, text: str) -> tuple[int, float]:
-        """Number of pieces and score of a text as the tokenizer sees it: a space sign in front."""
+    def count(self, text: str) -> int:
+        """Number of pieces of a text as the tokenizer sees it: a space sign in front."""
         if not text:
-            return 0, 0.0
-        total, score, known = 0, 0.0, self.cache.get
-        for match in self.parts.finditer(SPACE + text.replace(" ", SPACE)):
-            found = known(match.group()) or self._part(match.group())
-            total += found[0]
-            score += found[1]
-        return total, score
+            return 0
+        text = SPACE + text.replace(" ", SPACE)
+        if len(text) <= CHUNK:
+            return sum(map(self.cache.__getitem__, self.parts.findall(text)))
+        return sum(self.cache[match.group()] for match in self.parts.finditer(text))
 
 
 @functools.lru_cache(maxsize=2)
@@ -101,15 +93,15 @@ def _counter(vocabulary: tuple[tuple[str, float], ...], bytes_known: bool) -> Un
 def count_tokens(
     documents: DataFrame, vocabulary: tuple[tuple[str, float], ...], bytes_known: bool, text: str = "text"
 ) -> DataFrame:
-    """Adds ``n_tokens`` and ``score`` of the best segmentation of every whole text.
+    """Adds ``n_tokens``, the number of pieces of the best segmentation of every whole text.
 
-    One narrow pass. Null and empty texts have no tokens and score 0. Other columns pass through;
-    existing columns of these names are replaced. The vocabulary has a fixed size and goes to the
-    workers with the function.
+    One narrow pass. Null and empty texts have no tokens. Other columns pass through; an existing
+    column ``n_tokens`` is replaced. The vocabulary has a fixed size and goes to the workers with
+    the function.
     """
-    kept = [c for c in documents.columns if c not in ("n_tokens", "score")]
+    kept = [c for c in documents.columns if c != "n_tokens"]
     rows = documents.select(*kept)
-    schema = rows.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("score")).schema
+    schema = rows.select("*", F.lit(0).cast("long").alias("n_tokens")).schema
     ship_package(documents.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +109,8 @@ def count_tokens(
         for batch in batches:
             for piece in pieces(batch, text, 8 << 20):
                 values = piece.column(piece.schema.get_field_index(text))
-                found = [counter.count(value.as_py() or "") for value in values]
-                columns = [pa.array([f[0] for f in found], pa.int64()),
-                           pa.array([f[1] for f in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], names=[*kept, "n_tokens", "score"])
+                found = pa.array([counter.count(value.as_py() or "") for value in values], pa.int64())
+                yield pa.RecordBatch.from_arrays([*piece.columns, found], names=[*kept, "n_tokens"])
 
     return rows.mapInArrow(count, schema)
 
@@ -143,4 +133,4 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     known = piece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    return count_tokens(documents, *known).select("doc_id", "n_tokens", "score")
+    return count_tokens(documents, *known).select("doc_id", "n_tokens")

@@ -237,7 +237,7 @@ def test_pii_base_spans_and_redaction(spark):
         (104, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'),
     ]
     documents = rows(spark, texts)
-    model = pii.fit_pii(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    model = pii.fit_pii(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
     found = pii.redact(pii.find_pii(documents, model).withColumn("raw", F.col("text"))).collect()
     assert len(found) == len(texts)
     for r in found:
