@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,8 +75,12 @@ def retain_latest_version(
     keys: Sequence[str] = ("patient_id", "report_id"),
     order: Sequence[str | Column] = ("version", "export_id"),
 ) -> DataFrame:
-    """Per patient and report id, the row with the highest version; the export id breaks ties."""
-    return pick_by_key(df, keys, order)
+    """Per patient and report id, the row with the highest version; the export id breaks ties.
+
+    Rows with a null in a key are nobody's version: all of them stay.
+    """
+    keyed = reduce(operator.and_, [F.col(key).isNotNull() for key in keys])
+    return pick_by_key(df.filter(keyed), keys, order).unionByName(df.filter(~keyed))
 
 
 def first_report_of_message(df: DataFrame) -> DataFrame:
@@ -178,7 +184,8 @@ def consolidate_reports(df: DataFrame, include_pathology: bool = True) -> DataFr
         entry = F.struct(
             F.lit(section).alias("section"),
             F.lit(rank).alias("section_rank"),
-            F.coalesce(key, F.lit("")).alias("selection_key"),
+            # An entry without an id is selected by its own report, not together with others.
+            F.coalesce(key, F.concat(F.lit("?"), F.concat_ws("|", "report_id", "export_id"))).alias("selection_key"),
             preference.alias("preference"),
         )
         entries.append(F.when(part.isNotNull(), entry))

@@ -21,7 +21,10 @@ def _derived(strategy: str, cfg: MappingConfig):
 
 def pseudonymize(df: DataFrame, pseudonyms: DataFrame | None = None, key: str | None = None,
                  column: str = "patient_id") -> DataFrame:
-    """Replace an id by its pseudonym from a table (``original, pseudonym``) or by a keyed hash."""
+    """Replace an id by its pseudonym from a table (``original, pseudonym``) or by a keyed hash.
+
+    With a table, ``pseudonym_error`` names ids that it lacks, for quarantine; their id becomes null.
+    """
     if pseudonyms is None:
         from oncolake.operators.deidentify import keyed_hash
 
@@ -30,6 +33,10 @@ def pseudonymize(df: DataFrame, pseudonyms: DataFrame | None = None, key: str |
         F.min("pseudonym").alias("__pseudonym")
     )
     joined = df.join(known, F.col(column) == F.col("__original"), "left")
+    lacking = F.when(
+        F.col(column).isNotNull() & F.col("__pseudonym").isNull(), F.lit("no pseudonym for the patient id")
+    )
+    joined = joined.withColumn("pseudonym_error", lacking)
     return joined.withColumn(column, F.col("__pseudonym")).drop("__original", "__pseudonym")
 
 

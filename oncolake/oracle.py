@@ -308,7 +308,8 @@ SELECT c_custkey, CASE WHEN n = 1 THEN 'Patient/' || id END AS patient_ref,
 FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS id, count(DISTINCT o_orderpriority) AS n
   FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey"""
 ORACLE["pseudonymize"] = """
-SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'PSN-' || s_suppkey END AS patient_id
+SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'PSN-' || s_suppkey END AS patient_id,
+  CASE WHEN s_suppkey IS NULL THEN 'no pseudonym for the patient id' END AS pseudonym_error
 FROM customer LEFT JOIN supplier ON replace(s_name, 'Supplier', 'Customer') = c_name"""
 
 
@@ -804,8 +805,10 @@ SELECT CAST(o_custkey AS VARCHAR) AS patient_id, 0 AS part, count(*) AS entries,
     '"},"request":{"method":"PUT","url":"Order/' || o_orderkey || '"}}', ',' ORDER BY o_orderdate, o_orderkey)
   || ']}' AS bundle_json FROM orders GROUP BY o_custkey"""
 ORACLE["stamp_source"] = """
-SELECT o_orderkey, '{"id":"' || o_orderkey || '"' || CASE WHEN o_orderstatus <> 'P'
-  THEN ',"meta":{"source":"urn:registry","profile":["' || o_orderstatus || '"]}' ELSE '' END || '}' AS resource_json
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P'
+  THEN '{"meta":{"source":"urn:registry"},"id":"' || o_orderkey || '"}'
+  ELSE '{"id":"' || o_orderkey || '","meta":{"source":"urn:registry"' ||
+    CASE WHEN o_orderstatus = 'O' THEN '}}' ELSE ',"profile":["' || o_orderstatus || '"]}}' END END AS resource_json
 FROM orders"""
 _DEVICE = f"{CONFIG.device_name}-{CONFIG.device_version}"
 _PROV = slug(f"('{_DEVICE}-' || report_id)")
@@ -856,7 +859,7 @@ SELECT o_custkey AS subject_reference, count(DISTINCT year(o_orderdate)) AS dist
 FROM orders GROUP BY 1"""
 ORACLE["several_death_dates"] = """
 SELECT o_custkey AS subject_reference, count(DISTINCT o_orderdate) AS distinct_dates_count FROM orders
-GROUP BY 1 HAVING count(DISTINCT o_orderdate) > 1 ORDER BY 2 DESC, 1 LIMIT 100"""
+GROUP BY 1 HAVING count(DISTINCT o_orderdate) > 1 """
 ORACLE["column_summary"] = """
 SELECT count(c_name) AS "count", min(c_name) AS "min", max(c_name) AS "max" FROM customer"""
 _CHECKED = """c AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,

@@ -587,9 +587,8 @@ def _sections() -> dict[str, str]:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the scan has fewer splits; expanding orders to documents is costly."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the orders out evenly; expanding them to documents is costly, moving them is not."""
+    return df.repartition("o_orderkey")
 
 
 def derived_documents(

@@ -229,6 +229,8 @@ def report_checks() -> dict[str, Column]:
         "patient id does not match": F.col("patient_id_error").isNotNull(),
         "patient reference is ambiguous": F.col("patient_ref_error").isNotNull(),
         "report without tumour assignment": report.isNotNull() & blank(F.col("tumor_id")),
+        "report without id": report.isNotNull() & blank(F.col("report_id")),
+        "board without id": missing_id("Tumorkonferenz", "_Tumorkonferenz_ID"),
         "surgery without id": missing_id("OP", "_OP_ID"),
         "radiotherapy without id": missing_id("ST", "_ST_ID"),
         "systemic therapy without id": missing_id("SYST", "_SYST_ID"),

@@ -348,10 +348,7 @@ def column_summary(view: DataFrame, column: str) -> DataFrame:
     )
 
 
-def several_death_dates(dates: DataFrame, limit: int = 100) -> DataFrame:
-    """The patients with most distinct death dates, a report of the first ``limit``."""
-    return (
-        dates.filter(F.col("distinct_dates_count") > 1)
-        .orderBy(F.desc("distinct_dates_count"), "subject_reference")
-        .limit(limit)
-    )
+def several_death_dates(dates: DataFrame) -> DataFrame:
+    """All patients with more than one distinct death date, most dates first."""
+    several = dates.filter(F.col("distinct_dates_count") > 1)
+    return several.orderBy(F.desc("distinct_dates_count"), "subject_reference")

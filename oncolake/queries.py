@@ -1058,7 +1058,10 @@ def stamp_source(spark, sf):
         F.to_json(
             F.struct(
                 F.col("o_orderkey").cast("string").alias("id"),
-                F.when(F.col("o_orderstatus") != "P", F.struct(F.array("o_orderstatus").alias("profile"))).alias("meta"),
+                F.when(
+                    F.col("o_orderstatus") != "P",
+                    F.struct(F.when(F.col("o_orderstatus") != "O", F.array("o_orderstatus")).alias("profile")),
+                ).alias("meta"),
             )
         ).alias("resource_json"),
     )

@@ -270,7 +270,8 @@ def _substances(reports: DataFrame, drug_map: DataFrame | None) -> DataFrame:
     ).filter(F.col("substance_key").isNotNull())
     if drug_map is None:
         return named.withColumn("mapped_code", F.lit(None).cast("string"))
-    names = drug_map.select(F.col("name").alias("__name"), F.col("atc_code").alias("mapped_code"))
+    # One code per name, so that a name listed twice does not multiply rows.
+    names = drug_map.groupBy(F.col("name").alias("__name")).agg(F.min("atc_code").alias("mapped_code"))
     lookup_name = F.when(F.col("given_code").isNull(), F.trim(s["Bezeichnung"]))
     return named.withColumn("__lookup", lookup_name).join(
         names, F.col("__lookup") == F.col("__name"), "left"

@@ -66,16 +66,27 @@ def current_version() -> StatefulProcessor:
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
-            before = self._current()
+            # The rows of a batch come in any order. A retraction takes out the record it names and
+            # no other: an addition of the same batch, or what is stored. So the result is the same
+            # for each order, and a changed record is never lost with its former state.
+            net, wiped = {}, set()
             for frame in rows:
                 for row in frame.itertuples(index=False):
-                    if row.retract:
-                        if self.versions.containsKey((row.export_id,)):
-                            self.versions.removeKey((row.export_id,))
-                    else:
-                        self.versions.updateValue(
-                            (row.export_id,), (int(row.version), row.export_id, row.payload)
-                        )
+                    if row.retract and row.payload is None:
+                        wiped.add(row.export_id)  # names no content: whatever was stored before
+                        continue
+                    record = (int(row.version), row.export_id, row.payload)
+                    net[record] = net.get(record, 0) + (-1 if row.retract else 1)
+            before = self._current()
+            for export_id in wiped:
+                if self.versions.containsKey((export_id,)):
+                    self.versions.removeKey((export_id,))
+            for record, count in net.items():
+                key_ = (record[1],)
+                if count < 0 and self.versions.containsKey(key_) and tuple(self.versions.getValue(key_)) == record:
+                    self.versions.removeKey(key_)
+            for record in sorted((r for r, count in net.items() if count > 0), key=lambda r: (r[0], r[2] or "")):
+                self.versions.updateValue((record[1],), record)
             after = self._current()
             if after == before:
                 return

@@ -5,6 +5,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from oncolake.operators import bundles, consolidate, deidentify, patient_reference, staging
+from oncolake.operators.bundles import stamp_source
+from oncolake.operators.consolidate import retain_latest_version
 from oncolake.operators.reports import normalize_patient_id
 
 
@@ -129,3 +131,18 @@ def test_deidentify_hashes_every_identifier_and_drops_conclusions(spark):
     assert made["subject"]["identifier"]["value"] == hidden["patient_id"]
     hashed = [made["identifier"][0]["value"], made["accessionIdentifier"]["value"]]
     assert all(len(v) == 64 for v in hashed) and made["identifier"][0]["system"] == "urn:any"
+
+
+def test_every_resource_is_stamped_as_valid_json(spark):
+    import json
+
+    bodies = ['{}', '{"id":"1"}', '{"id":"1","meta":{}}', '{"id":"1","meta":{"profile":["p"]},"x":2}']
+    df = spark.createDataFrame([(b,) for b in bodies], "resource_json string")
+    for row in stamp_source(df, 'urn:"x').collect():
+        assert json.loads(row[0])["meta"]["source"] == 'urn:"x'
+
+
+def test_rows_without_id_stay(spark):
+    rows = [("p", None, 1, "a"), ("p", None, 2, "b"), ("p", "r", 1, "c"), ("p", "r", 2, "d")]
+    df = spark.createDataFrame(rows, "patient_id string, report_id string, version int, export_id string")
+    assert {r["export_id"] for r in retain_latest_version(df).collect()} == {"a", "b", "d"}

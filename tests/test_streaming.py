@@ -47,3 +47,17 @@ def test_retraction_restores_the_version_before(spark, tmp_path):
     out, _ = run_stream(spark, tmp_path, [first, second])
     last = out.filter(F.col("batch") == out.agg(F.max("batch")).collect()[0][0]).collect()
     assert [(r["report_id"], r["payload"]) for r in last] == [("r", "old")]
+
+
+def test_changed_record_survives_in_any_order(spark, tmp_path):
+    """Old state out and new state in under one export id, in one batch, both ways round."""
+    first = [("p", r, 1, r, "old", False) for r in ("a", "b", "c")]
+    second = [
+        ("p", "a", 1, "a", "old", True), ("p", "a", 1, "a", "new", False),
+        ("p", "b", 1, "b", "new", False), ("p", "b", 1, "b", "old", True),
+        ("p", "c", 2, "c", "mid", False), ("p", "c", 1, "c", "old", True),
+        ("p", "c", 2, "c", "mid", True), ("p", "c", 1, "c", "new", False),
+    ]
+    out, _ = run_stream(spark, tmp_path, [first, second])
+    last = out.filter(F.col("batch") == out.agg(F.max("batch")).collect()[0][0]).collect()
+    assert {(r["report_id"], r["payload"]) for r in last} == {("a", "new"), ("b", "new"), ("c", "new")}
