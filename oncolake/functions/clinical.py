@@ -11,15 +11,17 @@ from oncolake.functions.codes import lookup
 
 # Stage groups that may be reported; the display text is "Stadium <code>".
 UICC_STAGES = (
-    "okk 0 0a 0is I IA IA1 IA2 IA3 IB IB1 IB2 IC IS II IIA IIA1 IIA2 IIB IIC III IIIA IIIA1 IIIA2 "
-    "IIIB IIIC IIIC1 IIIC2 IIID IV IVA IVA1 IVA2 IVB IVC"
-).split()
+    "okk", "0", "0a", "0is", "I", "IA", "IA1", "IA2", "IA3", "IB", "IB1", "IB2", "IC", "IS",
+    "II", "IIA", "IIA1", "IIA2", "IIB", "IIC", "III", "IIIA", "IIIA1", "IIIA2", "IIIB", "IIIC",
+    "IIIC1", "IIIC2", "IIID", "IV", "IVA", "IVA1", "IVA2", "IVB", "IVC",
+)
 
 # Application codes of an irradiation.
 APPLICATION_CODES = (
-    "P P-ST P-4D P-ST4D PRCN PRCN-ST PRCN-4D PRCN-ST4D PRCJ PRCJ-4D PRCJ-ST PRCJ-ST4D "
-    "K KHDR KLDR KPDR I IHDR ILDR IPDR MSIRT MPRRT MPSMA MRJT MRIT M S"
-).split()
+    "P", "P-ST", "P-4D", "P-ST4D", "PRCN", "PRCN-ST", "PRCN-4D", "PRCN-ST4D", "PRCJ", "PRCJ-4D",
+    "PRCJ-ST", "PRCJ-ST4D", "K", "KHDR", "KLDR", "KPDR", "I", "IHDR", "ILDR", "IPDR", "MSIRT",
+    "MPRRT", "MPSMA", "MRJT", "MRIT", "M", "S",
+)
 
 # Gleason score and pattern codes (SNOMED CT).
 GLEASON_SCORE = {
@@ -76,7 +78,7 @@ def tnm_suffixes(value: Column) -> Column:
 
 def uicc_stage(value: Column) -> Column:
     """The stage group when it is a known one, else null."""
-    return F.when(value.isin(UICC_STAGES), value)
+    return F.when(value.isin(*UICC_STAGES), value)
 
 
 def ecog_bucket(value: Column) -> Column:
@@ -167,7 +169,7 @@ def application_code(application: Column) -> Column:
         .otherwise("S")
     )
     code = F.upper(composed)
-    return F.when(application.isNotNull() & code.isin(APPLICATION_CODES), code)
+    return F.when(application.isNotNull() & code.isin(*APPLICATION_CODES), code)
 
 
 def distinct_by_code(

@@ -861,7 +861,11 @@ ORACLE["several_death_dates"] = """
 SELECT o_custkey AS subject_reference, count(DISTINCT o_orderdate) AS distinct_dates_count FROM orders
 GROUP BY 1 HAVING count(DISTINCT o_orderdate) > 1 """
 ORACLE["column_summary"] = """
-SELECT count(c_name) AS "count", min(c_name) AS "min", max(c_name) AS "max" FROM customer"""
+SELECT 'c_name' AS "column", count(c_name) AS "count", NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev,
+  min(c_name) AS "min", max(c_name) AS "max" FROM customer
+UNION ALL
+SELECT 'c_custkey', count(c_custkey), round(avg(c_custkey), 4), round(stddev_samp(c_custkey), 4),
+  CAST(min(c_custkey) AS VARCHAR), CAST(max(c_custkey) AS VARCHAR) FROM customer"""
 _CHECKED = """c AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
   CAST(o_orderkey AS VARCHAR) AS key_text FROM orders)"""
 

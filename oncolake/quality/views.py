@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from oncolake import config as C
 from oncolake.config import DEFAULT, MappingConfig
@@ -342,9 +343,18 @@ def row_counts(tables: dict[str, DataFrame], views: dict[str, DataFrame], names:
 
 
 def column_summary(view: DataFrame, column: str) -> DataFrame:
-    """Count, smallest and largest value of a column."""
+    """Count, mean, standard deviation, smallest and largest value of a column.
+
+    Mean and deviation are null for columns that are not numbers.
+    """
+    numeric = isinstance(view.schema[column].dataType, NumericType)
+    number = F.col(column).cast("double") if numeric else F.lit(None).cast("double")
     return view.agg(
-        F.count(column).alias("count"), F.min(column).alias("min"), F.max(column).alias("max")
+        F.count(column).alias("count"),
+        F.avg(number).alias("mean"),
+        F.stddev_samp(number).alias("stddev"),
+        F.min(column).alias("min"),
+        F.max(column).alias("max"),
     )
 
 

@@ -1186,7 +1186,15 @@ def several_death_dates(spark, sf):
 
 @query
 def column_summary(spark, sf):
-    return V.column_summary(table(spark, sf, "customer"), "c_name")
+    """A text column and a number column."""
+    customers = table(spark, sf, "customer")
+    text = V.column_summary(customers, "c_name").select(F.lit("c_name").alias("column"), "*")
+    key = V.column_summary(customers, "c_custkey").select(
+        F.lit("c_custkey").alias("column"), "count",
+        F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+        F.col("min").cast("string").alias("min"), F.col("max").cast("string").alias("max"),
+    )
+    return text.unionAll(key)
 
 
 def _checks():
