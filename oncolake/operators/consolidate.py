@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.operators.staging import same_keys, split_hot_groups
+from oncolake.operators.staging import number_parts, same_keys
 
 COMPLETED, STARTED = "behandlungsende", "behandlungsbeginn"
 STATUS_CHANGE, STATUS_REPORT = "statusaenderung", "statusmeldung"
@@ -208,19 +208,25 @@ def merge_report_group(
     order: Sequence[str | Column],
     header: dict[str, Column],
     header_order: Sequence[str | Column],
-    max_rows: int = 10_000,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """One merged row per group: header values of the newest row and its items in fixed order.
 
-    A group above ``max_rows`` becomes several rows, numbered by ``part`` and all carrying the same
-    header, so no task ever holds an unbounded group.
+    With ``max_rows`` a group becomes as many rows as it needs, each with that many items at most:
+    ``part`` 0 holds the first items, part 1 the next ones. All carry the same header.
     """
     newest = F.struct(*_columns(header_order))
-    heads = df.groupBy(*keys).agg(
-        *[F.max_by(value, newest).alias(name) for name, value in header.items()]
-    )
+    values = [F.max_by(value, newest).alias(name) for name, value in header.items()]
     ordered = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_columns(order))])
-    parted = split_hot_groups(
+    if max_rows is None:
+        pairs = F.sort_array(F.collect_list(F.struct(ordered.alias("order"), item.alias("item"))))
+        whole = df.groupBy(*keys).agg(*values, pairs.alias("__items"))
+        return whole.select(
+            *keys, F.lit(0).alias("part"), *header,
+            F.transform("__items", lambda pair: pair["item"]).alias("items"),
+        )
+    heads = df.groupBy(*keys).agg(*values)
+    parted = number_parts(
         df.select(*keys, ordered.alias("__order"), item.alias("__item")),
         keys,
         ["__order"],

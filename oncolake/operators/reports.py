@@ -138,22 +138,35 @@ def with_references(df: DataFrame, cfg: MappingConfig = DEFAULT, lookup: DataFra
     )
 
 
+def own_patient_id(cfg: MappingConfig = DEFAULT) -> Column:
+    """The id under which a patient not known elsewhere is written."""
+    patient = F.col("patient_id")
+    return patient if cfg.use_source_patient_id else resource_id(cfg.identifier_system("patient-id"), patient)
+
+
+def entries_bundle_id(cfg: MappingConfig = DEFAULT) -> Column:
+    """The id ``patient_policy`` gives a patient, as an aggregate over the patient's entries.
+
+    The id of a known patient, where it is taken over, is the one all entries refer to.
+    """
+    own = F.max(own_patient_id(cfg))
+    looked_up = cfg.patient_reference_strategy in ("record_id", "existing")
+    if not (looked_up and cfg.create_patients and cfg.create_patient_if_exists):
+        return own
+    return F.coalesce(F.max(F.substring_index("subject_ref", "/", -1)), own)
+
+
 def patient_policy(df: DataFrame, cfg: MappingConfig = DEFAULT) -> DataFrame:
     """Decide per row whether the patient is written and which id the bundle carries.
 
     Adds ``write_patient`` and ``bundle_id``; drops patients nobody knows when so configured.
     """
-    own_id = (
-        F.col("patient_id")
-        if cfg.use_source_patient_id
-        else resource_id(cfg.identifier_system("patient-id"), F.col("patient_id"))
-    )
     known = F.col("patient_exists")
     write = F.lit(cfg.create_patients) & (~known | F.lit(cfg.create_patient_if_exists))
     reuse = write & known & F.lit(cfg.create_patient_if_exists)
     decided = df.withColumn("write_patient", write).withColumn(
         "bundle_id",
-        F.when(reuse, F.substring_index("patient_ref", "/", -1)).otherwise(own_id),
+        F.when(reuse, F.substring_index("patient_ref", "/", -1)).otherwise(own_patient_id(cfg)),
     )
     if cfg.skip_unknown_patients:
         decided = decided.filter(known | F.col("patient_ref").isNotNull())

@@ -1,4 +1,4 @@
-"""Durable intermediate tables, splitting of hot groups and skew-proof joins and ranks."""
+"""Durable intermediate tables, numbered parts of groups and skew-proof joins and ranks."""
 
 from __future__ import annotations
 
@@ -47,32 +47,6 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def split_hot_groups(
-    df: DataFrame, keys: Sequence[str], by: Sequence[str], max_rows: int, part: str = "part"
-) -> DataFrame:
-    """Add a part number so that no ``(keys, part)`` group is much larger than ``max_rows``.
-
-    Ordinary groups stay whole as part 0. A group above the limit is dealt out by a hash of
-    ``by``. Group sizes come from a pre-aggregated count; only the oversized groups reach the join,
-    so its right side has at most ``rows / max_rows`` rows and the adaptive planner broadcasts or
-    splits it by measured size.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = sizes.filter(F.col("__rows") > max_rows).select(
-        *[F.col(key).alias(f"__{key}") for key in keys],
-        F.ceil(F.col("__rows") / F.lit(max_rows)).cast("int").alias("__parts"),
-    )
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & df[key].eqNullSafe(hot[f"__{key}"])
-    number = F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(*by), F.col("__parts")))
-    return (
-        df.join(hot, condition, "left")
-        .withColumn(part, F.coalesce(number.cast("int"), F.lit(0)))
-        .drop("__parts", *[f"__{key}" for key in keys])
-    )
-
-
 def rank_in_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "rank"
 ) -> DataFrame:
@@ -106,6 +80,21 @@ def rank_in_groups(
     )
 
 
+def number_parts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None, part: str = "part"
+) -> DataFrame:
+    """Add a part number. Without ``max_rows`` every group is one part.
+
+    With it, the first ``max_rows`` rows of a group by ``order`` are part 0, the next ones part 1, and
+    so on. Ranks are exact also for a group that spans many partitions.
+    """
+    if max_rows is None:
+        return df.withColumn(part, F.lit(0))
+    ranked = rank_in_groups(df, keys, order, "__rank")
+    number = F.floor((F.col("__rank") - 1) / F.lit(max_rows)).cast("int")
+    return ranked.withColumn(part, number).drop("__rank")
+
+
 def left_join_hot_right(left: DataFrame, right: DataFrame, condition: Column, left_key: Column,
                         right_key: Column) -> DataFrame:
     """Left outer join whose right side may hold a hot key.

@@ -167,7 +167,7 @@ ORACLE["xml_roundtrip"] = (
 )
 ORACLE["explode_reports"] = (
     f"WITH {_ALL} SELECT name AS source_patient_id, count(*) AS reports, "
-    f"min(report_id) AS first_report FROM rep WHERE {kinds('Diagnose', 'Tod')} GROUP BY 1"
+    "min(report_id) AS first_report FROM rep GROUP BY 1"
 )
 ORACLE["json_envelope"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS export_id, o_orderpriority AS reference_number,
@@ -186,7 +186,7 @@ SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'negative balance'
   WHEN c_mktsegment = 'HOUSEHOLD' THEN 'segment not allowed: HOUSEHOLD' END AS error FROM customer"""
 ORACLE["single_patient_messages"] = (
     f"WITH {_ALL} SELECT export_id, CASE WHEN k % 3 = 0 THEN 'message holds more than one patient' END "
-    f"AS error FROM rep WHERE {kinds('Tod')}"
+    "AS error FROM rep"
 )
 ORACLE["incremental_scan"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey > 5000 AND o_orderstatus <> 'P'"""
@@ -348,7 +348,8 @@ _EARLIER_SYSTEM = "fruehere-tumorerkrankung-condition-id"
 ORACLE["map_conditions"] = mapping(
     f"""SELECT cond_id AS id, patient_id || '-' || tumor_id AS identifier_value, report_id,
       CASE WHEN kind = 0 THEN 1 ELSE 0 END AS has_diagnosis,
-      CASE WHEN kind = 2 AND reason_end = 'behandlungsende' THEN 2 ELSE 0 END AS priority,
+      CASE WHEN kind IN (2, 3, 6) AND reason_end = 'behandlungsende' THEN 2
+        WHEN kind = 1 AND reason_change = 'statusaenderung' THEN 2 ELSE 0 END AS priority,
       CASE WHEN kind = 0 THEN 0 ELSE 1 END AS incomplete,
       icd, CASE k % 4 WHEN 0 THEN '2023' WHEN 1 THEN '2019' ELSE '-' END AS icd_version,
       CASE WHEN kind = 0 AND has_histology THEN CASE 1 + k % 4
@@ -364,7 +365,7 @@ ORACLE["map_conditions"] = mapping(
       {pdate('diagnosed')} AS asserted_date, recorded AS recorded_date,
       CASE WHEN kind = 0 THEN {sid('erstdiagnose-evidenz-list-id', "patient_id || '-' || tumor_id")} END AS evidence_list_id,
       coalesce((SELECT string_agg({sid(_EARLIER_SYSTEM, 'value')}, ',' ORDER BY i) FROM ear WHERE ear.k = rep.k), '') AS follows
-    FROM rep WHERE {kinds('Diagnose', 'SYST')}""",
+    FROM rep""",
     elements("earlier", kinds("Diagnose")),
     _EARLIER,
 )
@@ -804,6 +805,11 @@ SELECT CAST(o_custkey AS VARCHAR) AS patient_id, 0 AS part, count(*) AS entries,
   string_agg('{"fullUrl":"Order/' || o_orderkey || '","resource":{"status":"' || o_orderstatus ||
     '"},"request":{"method":"PUT","url":"Order/' || o_orderkey || '"}}', ',' ORDER BY o_orderdate, o_orderkey)
   || ']}' AS bundle_json FROM orders GROUP BY o_custkey"""
+ORACLE["bundle_parts"] = """
+SELECT patient_id, part, string_agg('Order/' || o_orderkey, ',' ORDER BY o_orderdate, o_orderkey) AS urls,
+  1 AS own_id, CASE WHEN part = 0 THEN 1 ELSE 0 END AS plain_id
+FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS patient_id, CAST((row_number() OVER (PARTITION BY o_custkey
+    ORDER BY o_orderdate, o_orderkey) - 1) // 4 AS INTEGER) AS part FROM orders) GROUP BY 1, 2"""
 ORACLE["stamp_source"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P'
   THEN '{"meta":{"source":"urn:registry"},"id":"' || o_orderkey || '"}'
@@ -839,12 +845,13 @@ SELECT CAST(o_custkey AS VARCHAR) AS patient_id, o_orderpriority AS report_id,
 
 ORACLE["outer_join_view"] = """
 SELECT o_orderkey, subject_reference, patient_id, c_mktsegment FROM
-  (SELECT o_orderkey, 'Patient/' || o_custkey AS subject_reference FROM orders WHERE o_orderstatus = 'O')
-  FULL OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_mktsegment FROM customer WHERE c_nationkey < 12)
+  (SELECT o_orderkey, 'Patient/' || CASE WHEN o_custkey % 7 = 0 THEN -o_custkey ELSE o_custkey END
+    AS subject_reference FROM orders)
+  FULL OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_mktsegment FROM customer)
   ON subject_reference = 'Patient/' || patient_id"""
 ORACLE["left_inner_view"] = """
 SELECT p_partkey, p_brand, count(l_orderkey) AS lines, sum(l_quantity) AS quantity
-FROM (SELECT * FROM part WHERE p_size <= 10) LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R')
+FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R')
   ON l_partkey = p_partkey GROUP BY 1, 2"""
 ORACLE["inner_view"] = """
 SELECT s_name, count(*) AS lines FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1"""

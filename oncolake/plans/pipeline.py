@@ -14,7 +14,7 @@ from oncolake.functions.clinical import application_code, gleason_score
 from oncolake.functions.ids import resource_id, slugify
 from oncolake.operators.bundles import add_provenance, build_bundles, upsert_entries
 from oncolake.operators.consolidate import bundle_key, consolidate_reports, retain_latest_version
-from oncolake.operators.reports import prepare_reports, with_rank_key
+from oncolake.operators.reports import entries_bundle_id, prepare_reports, with_rank_key
 from oncolake.operators.staging import stage_table
 from oncolake.resources.outcomes import PROGRESS_LISTS
 from oncolake.resources.envelope import to_envelope
@@ -298,11 +298,13 @@ def reports_to_bundles(
     lookup: DataFrame | None = None,
     drug_map: DataFrame | None = None,
     classification_map: DataFrame | None = None,
-    max_entries: int = 10_000,
+    max_entries: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Report exports to (bundles, quarantine), consolidated per patient and tumour.
 
-    ``raw`` has ``export_id, version, xml`` (or a decoded ``document``).
+    ``raw`` has ``export_id, version, xml`` (or a decoded ``document``). Bundle id and key hold the id
+    under which the patient is written. ``max_entries`` cuts bundles into parts with ids and keys of
+    their own; without it each is whole.
     """
     good, bad = prepare_documents(raw, cfg, lookup)
     keys = ("patient_id", "tumor_id") if by_tumor else ("patient_id",)
@@ -310,20 +312,18 @@ def reports_to_bundles(
     entries = stage_table(
         bundle_entries(reports, cfg, keys, drug_map, classification_map), "entries"
     )
-    patient = resource_id(cfg.identifier_system("patient-id"), F.col("patient_id"))
-    bundles = build_bundles(entries, keys, patient, max_entries)
-    return bundles.withColumn("bundle_key", _bundle_key(cfg, by_tumor)), bad
-
-
-def _bundle_key(cfg: MappingConfig, by_tumor: bool) -> Column:
-    patient = resource_id(cfg.identifier_system("patient-id"), F.col("patient_id"))
-    if not by_tumor:
-        return bundle_key(patient, F.lit(None).cast("string"))
-    condition = resource_id(
-        cfg.identifier_system("primaerdiagnose-condition-id"),
-        slugify(F.concat_ws("-", "patient_id", "tumor_id")),
-    )
-    return bundle_key(patient, F.when(F.col("tumor_id").isNotNull(), condition))
+    bundles = build_bundles(entries, keys, entries_bundle_id(cfg), max_entries)
+    condition = F.lit(None).cast("string")
+    if by_tumor:
+        value = slugify(F.concat_ws("-", "patient_id", "tumor_id"))
+        system = cfg.identifier_system("primaerdiagnose-condition-id")
+        condition = F.when(F.col("tumor_id").isNotNull(), resource_id(system, value))
+    # The patient's id is that of part 0; further parts add their number to the key.
+    whole = entries.groupBy("patient_id").agg(entries_bundle_id(cfg).alias("__patient"))
+    keyed = bundles.join(whole, "patient_id") if max_entries else bundles.withColumn("__patient", F.col("bundle_id"))
+    key = bundle_key(F.col("__patient"), condition)
+    key = F.when(F.col("part") == 0, key).otherwise(F.concat_ws(" - Part/", key, "part"))
+    return keyed.withColumn("bundle_key", key).drop("__patient"), bad
 
 
 def documents_to_bundles(
@@ -332,7 +332,7 @@ def documents_to_bundles(
     document_key: str = "file_name",
     drug_map: DataFrame | None = None,
     classification_map: DataFrame | None = None,
-    max_entries: int = 10_000,
+    max_entries: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Directory mode: every document by itself, (one bundle per document and patient, quarantine).
 
@@ -341,5 +341,4 @@ def documents_to_bundles(
     good, bad = prepare_documents(raw.withColumn("source_document", F.col(document_key)), cfg)
     keys = ("source_document", "patient_id")
     entries = stage_table(bundle_entries(good, cfg, keys, drug_map, classification_map), "entries")
-    patient = resource_id(cfg.identifier_system("patient-id"), F.col("patient_id"))
-    return build_bundles(entries, keys, patient, max_entries), bad
+    return build_bundles(entries, keys, entries_bundle_id(cfg), max_entries), bad

@@ -205,9 +205,11 @@ def views_from_tables(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT
     return {name: make() for name, make in makers.items() if BASE_TABLES[name] in tables}
 
 
-def with_patients(rows: DataFrame, patients: DataFrame, reference: str) -> DataFrame:
-    """Full outer join of referring rows and patients."""
+def with_patients(rows: DataFrame, patients: DataFrame, reference: str, how: str = "full") -> DataFrame:
+    """Full outer (or ``inner``) join of referring rows and patients."""
     key = F.concat(F.lit("Patient/"), patients["patient_id"])
+    if how == "inner":
+        return rows.join(patients, rows[reference] == key, "inner")
     return full_join_hot_left(rows, patients, rows[reference] == key, rows[reference], key)
 
 
@@ -229,9 +231,7 @@ def joined_view(name: str, base: dict[str, DataFrame], cfg: MappingConfig = DEFA
     """The view a suite checks, from the base views it needs."""
 
     def of_patients(rows: DataFrame, reference: str) -> DataFrame:
-        patients = base["patients"]
-        key = F.concat(F.lit("Patient/"), patients["patient_id"])
-        return rows.join(patients, rows[reference] == key, "inner")
+        return with_patients(rows, base["patients"], reference, "inner")
 
     def observed() -> DataFrame:
         return with_patients(base["observations"], base["patients"], "subject_reference")

@@ -6,7 +6,7 @@ other operators on the tables as they are, by calling the library function with
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -143,7 +143,7 @@ def merge_group_header(spark, sf):
 
 @query
 def merge_group_parts(spark, sf):
-    """The same merge with a limit of five orders a part; the parts add up to the whole group."""
+    """The same merge in parts of five orders, asked for; the parts add up to the whole group."""
     merged = K.merge_report_group(
         table(spark, sf, "orders"), ["o_custkey"], F.col("o_orderkey"), order_keys(),
         {"priority": F.col("o_orderpriority")}, order_keys(), max_rows=5,
@@ -257,7 +257,7 @@ def xml_roundtrip(spark, sf):
 @query
 def explode_reports(spark, sf):
     """Reports per patient after exploding nested documents."""
-    documents = derived.derived_documents(spark, sf, ("Diagnose", "Tod"))
+    documents = derived.derived_documents(spark, sf)
     exploded = RP.explode_reports(documents)
     return exploded.groupBy("source_patient_id").agg(
         F.count("report_id").alias("reports"), F.min("report_id").alias("first_report")
@@ -325,7 +325,7 @@ def quarantine_split(spark, sf):
 @query
 def single_patient_messages(spark, sf):
     """Messages with one or two patients, built from order pairs; those with two are rejected."""
-    documents = derived.derived_documents(spark, sf, ("Tod",))
+    documents = derived.derived_documents(spark, sf)
     patients = F.col("document")["Menge_Patient"]["Patient"]
     doubled = documents.select(
         "export_id",
@@ -651,7 +651,7 @@ def map_patients(spark, sf):
 
 @query
 def map_conditions(spark, sf):
-    rows = R.map_conditions(reports(spark, sf, "Diagnose", "SYST"), CFG)
+    rows = R.map_conditions(reports(spark, sf), CFG)
     return rows.select(
         "id", "identifier_value", "report_id",
         F.col("rank_key.has_diagnosis").alias("has_diagnosis"),
@@ -1051,6 +1051,25 @@ def bundle_json(spark, sf):
     return built.select("patient_id", "part", F.col("entries").cast("bigint").alias("entries"), "bundle_json")
 
 
+@query
+def bundle_parts(spark, sf):
+    """The same orders in parts of at most four, which a caller may ask for; order runs on across parts."""
+    orders = table(spark, sf, "orders")
+    entries = orders.select(
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        F.struct("o_orderdate", "o_orderkey").alias("entry_pos"),
+        F.concat(F.lit("Order/"), "o_orderkey").alias("full_url"),
+        F.lit("{}").alias("resource_json"),
+    )
+    built = B.build_bundles(entries, max_entries=4)
+    urls = F.regexp_extract_all("bundle_json", F.lit('"fullUrl":"([^"]*)"'), F.lit(1))
+    return built.select(
+        "patient_id", "part", F.concat_ws(",", urls).alias("urls"),
+        (F.get_json_object("bundle_json", "$.id") == F.col("bundle_id")).cast("int").alias("own_id"),
+        (F.col("bundle_id") == F.col("patient_id")).cast("int").alias("plain_id"),
+    )
+
+
 @query
 def stamp_source(spark, sf):
     orders = table(spark, sf, "orders").select(
@@ -1115,11 +1134,13 @@ def bundles_pipeline(spark, sf):
 
 @query
 def outer_join_view(spark, sf):
-    """Open orders and all customers of one half, full outer."""
-    orders = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "O").select(
-        "o_orderkey", F.concat(F.lit("Patient/"), "o_custkey").alias("subject_reference")
+    """All orders and customers, full outer; a seventh of the customers is named by none, and their orders name nobody."""
+    key = F.col("o_custkey")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("Patient/"), F.when(key % 7 == 0, -key).otherwise(key)).alias("subject_reference"),
     )
-    patients = table(spark, sf, "customer").filter(F.col("c_nationkey") < 12).select(
+    patients = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("patient_id"), "c_mktsegment"
     )
     return V.with_patients(orders, patients, "subject_reference")
@@ -1130,7 +1151,7 @@ def left_inner_view(spark, sf):
     """Parts with their lines if any, then their supplier."""
     from oncolake.operators.staging import left_join_hot_right
 
-    parts = table(spark, sf, "part").filter(F.col("p_size") <= 10).select("p_partkey", "p_size")
+    parts = table(spark, sf, "part").select("p_partkey", "p_size")
     lines = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R").select(
         "l_orderkey", "l_partkey", "l_quantity"
     )
@@ -1145,8 +1166,10 @@ def left_inner_view(spark, sf):
 
 @query
 def inner_view(spark, sf):
-    lines, suppliers = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
-    joined = lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"], "inner")
+    """Lines with their suppliers, by the join of the views."""
+    lines = table(spark, sf, "lineitem").select(F.concat(F.lit("Patient/"), "l_suppkey").alias("subject_reference"))
+    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("patient_id"), "s_name")
+    joined = V.with_patients(lines, suppliers, "subject_reference", how="inner")
     return joined.groupBy("s_name").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -1298,12 +1321,7 @@ def _stream(spark, sf, name, schema=None) -> DataFrame:
 
 
 def _work_folder(spark, name) -> str:
-    root = checkpoint_dir(spark)
-    if "://" in root and not root.startswith("file:"):
-        import uuid
-
-        return f"{root}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root.removeprefix("file:"))
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _run(writer, checkpoint):

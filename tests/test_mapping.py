@@ -168,6 +168,59 @@ def test_board_death_and_provenance(resources):
     assert [t["reference"].split("/")[0] for t in by_report["B1"]["target"]] == ["Condition", "CarePlan"]
 
 
+@pytest.mark.parametrize("strategy", ["sha256", "md5", "dashes", "plain", "record_id", "existing"])
+def test_entries_give_the_bundle_id_of_the_policy(spark, strategy):
+    from pyspark.sql.functions import lit
+
+    from oncolake.operators.patient_reference import patient_reference
+    from oncolake.operators.reports import entries_bundle_id, patient_policy
+
+    known = {"record_id": "patient_id string, record_id string", "existing": "identifier_value string, id string"}
+    lookup = spark.createDataFrame([("7", "k-7")], known[strategy]) if strategy in known else None
+    patients = spark.createDataFrame([("7",), ("8",)], "patient_id string")
+    for source_id in (False, True):
+        for reuse in (False, True):
+            cfg = replace(
+                DEFAULT, patient_reference_strategy=strategy, use_source_patient_id=source_id,
+                create_patient_if_exists=reuse,
+            )
+            decided = patient_policy(patient_reference(patients, cfg, lookup=lookup), cfg)
+            # Two entries a patient, one of a kind that names no subject.
+            entries = decided.withColumn("subject_ref", decided["patient_ref"]).unionByName(
+                decided.withColumn("subject_ref", lit(None).cast("string"))
+            )
+            rows = entries.groupBy("patient_id", "bundle_id").agg(entries_bundle_id(cfg).alias("made")).collect()
+            assert len(rows) == 2 and all(r["made"] == r["bundle_id"] for r in rows)
+
+
+@pytest.mark.parametrize("strategy, source_id, reuse", [("existing", False, True), ("md5", True, False)])
+def test_bundle_id_and_key_follow_the_patient_policy(spark, strategy, source_id, reuse):
+    cfg = replace(
+        DEFAULT, patient_reference_strategy=strategy, use_source_patient_id=source_id,
+        create_patients=True, create_patient_if_exists=reuse,
+    )
+    known = {"record_id": ("patient_id string, record_id string"), "existing": "identifier_value string, id string"}
+    lookup = spark.createDataFrame([("7", "k-7")], known[strategy]) if strategy in known else None
+    raw = spark.createDataFrame(
+        [("1", 1, X.document("7", X.report("a", X.BOARD))), ("2", 1, X.document("8", X.report("b", X.BOARD)))],
+        "export_id string, version int, xml string",
+    )
+    bundles, _ = pipeline.reports_to_bundles(raw, cfg, lookup=lookup)
+    rows = {r["patient_id"]: r for r in bundles.collect()}
+    assert set(rows) == {"7", "8"}
+    for patient, row in rows.items():
+        made = json.loads(row["bundle_json"])
+        written = [e["resource"]["id"] for e in made["entry"] if e["resource"]["resourceType"] == "Patient"]
+        found = patient == "7" and strategy in known
+        assert len(written) == (0 if found and not reuse else 1)
+        assert all(i == made["id"] for i in written)
+        assert row["bundle_key"].startswith(f"Patient/{made['id']} - Condition/")
+        if found and reuse:
+            assert made["id"] == "k-7"
+        elif source_id:
+            assert made["id"] == patient
+
+
 def test_directory_mode_keeps_documents_apart(spark):
     rows = [("a.xml", X.document("1", X.report("r1", X.BOARD), X.report("r2", X.DIAGNOSIS))), ("b.xml", X.document("1"))]
     raw = spark.createDataFrame(rows, "file_name string, xml string")

@@ -28,14 +28,32 @@ def test_rank_in_groups_matches_brute_force(spark):
     assert got == want
 
 
-def test_hot_group_is_split_and_stays_whole(spark):
+def test_parts_are_consecutive_and_only_made_when_asked_for(spark):
     df, rows = hot_rows(spark)
-    parted = staging.split_hot_groups(df, ["k"], ["i"], 30)
-    assert parted.count() == len(rows)
-    sizes = parted.groupBy("k", "part").count().collect()
-    assert {r["part"] for r in sizes if r["k"] != 0} == {0}
-    assert len([r for r in sizes if r["k"] == 0]) == 7
-    assert max(r["count"] for r in sizes) < 80
+    assert {r["part"] for r in staging.number_parts(df, ["k"], ["i"], None).collect()} == {0}
+    got = {r["i"]: r["part"] for r in staging.number_parts(df, ["k"], ["i"], 30).collect()}
+    for key in {r[0] for r in rows}:
+        for n, i in enumerate(sorted(r[2] for r in rows if r[0] == key)):
+            assert got[i] == n // 30
+
+
+def test_bundle_parts_keep_order_and_have_ids_of_their_own(spark):
+    import json
+
+    df, rows = hot_rows(spark)
+    entries = df.select(
+        F.col("k").cast("string").alias("patient_id"), F.col("i").alias("entry_pos"),
+        F.concat(F.lit("A/"), "i").alias("full_url"), F.lit("{}").alias("resource_json"),
+    )
+    whole = {r["patient_id"]: r for r in bundles.build_bundles(entries).collect()}
+    cut = bundles.build_bundles(entries, max_entries=50).collect()
+    assert len({r["bundle_id"] for r in cut}) == len(cut) > len(whole)
+    urls = lambda r: [e["fullUrl"] for e in json.loads(r["bundle_json"])["entry"]]
+    for key, row in whole.items():
+        parts = sorted((r for r in cut if r["patient_id"] == key), key=lambda r: r["part"])
+        assert [u for part in parts for u in urls(part)] == urls(row)
+        assert parts[0]["bundle_id"] == row["bundle_id"] == key
+        assert all(json.loads(p["bundle_json"])["id"] == p["bundle_id"] for p in parts)
 
 
 def test_merged_parts_hold_every_item(spark):
@@ -43,8 +61,10 @@ def test_merged_parts_hold_every_item(spark):
     merged = consolidate.merge_report_group(
         df, ["k"], F.col("i"), ["v", "i"], {"last": F.col("i")}, ["v", "i"], max_rows=50
     ).collect()
-    got = sorted(i for r in merged for i in r["items"])
-    assert got == sorted(r[2] for r in rows)
+    for key in {r[0] for r in rows}:
+        parts = sorted((r for r in merged if r["k"] == key), key=lambda r: r["part"])
+        want = [r[2] for r in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:])]
+        assert [i for part in parts for i in part["items"]] == want
     newest = max((r[1:] for r in rows if r[0] == 0))[1]
     assert {r["last"] for r in merged if r["k"] == 0} == {newest}
 
