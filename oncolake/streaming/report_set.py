@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from oncolake.operators.consolidate import latest_by_key
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 VERSION = T.StructType(
     [
@@ -116,7 +115,8 @@ def maintain_report_set(changes: DataFrame) -> DataFrame:
 
     Input: ``patient_id, report_id, version, export_id, payload, retract``. Emits a row whenever the
     current version of a report changes; ``retracted`` when none is left. Arrival order does not
-    matter, versions decide, so there is no watermark.
+    matter, versions decide, so there is no watermark. Sets the state store of the session to RocksDB,
+    without which Spark does not run this operator.
     """
     changes.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (
@@ -148,50 +148,103 @@ def changelog_diff(previous: DataFrame, batch: DataFrame, key: str = "export_id"
     )
 
 
+#: What the table of current reports holds; ``marker`` rows only make a bucket without reports exist.
+TABLE = "patient_id string, report_id string, version int, export_id string, payload string, marker boolean"
+#: Which of its two folders a bucket is current in, after which batch.
+POINTERS = "batch_id bigint, buckets int, bucket int, slot int"
+
+
+def _read(spark: SparkSession, schema: str, *paths: str, base: str | None = None) -> DataFrame:
+    """Files of a known schema; an empty table where there is no such folder yet."""
+    reader = spark.read.schema(schema)
+    try:
+        return (reader.option("basePath", base) if base else reader).parquet(*paths)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _pointers(spark: SparkSession, folder: str, before: int | None, buckets: int | None = None):
+    """(slot of the pointer table, {bucket: slot}) of the last batch before another one.
+
+    Both have at most one row per bucket, a number the caller sets.
+    """
+    known = {}
+    for slot in (0, 1):
+        rows = _read(spark, POINTERS, f"{folder}/pointers/{slot}").collect()
+        if rows and (before is None or rows[0]["batch_id"] < before):
+            known[rows[0]["batch_id"]] = (slot, rows)
+    if not known:
+        return 1, {}
+    slot, rows = known[max(known)]
+    if buckets is not None and rows[0]["buckets"] != buckets:
+        raise ValueError(f"{folder} was written with {rows[0]['buckets']} buckets")
+    return slot, {row["bucket"]: row["slot"] for row in rows}
+
+
+def _bucket_rows(spark: SparkSession, folder: str, slots: dict[int, int]) -> DataFrame:
+    """The reports of some buckets; only the folders of these buckets are listed and read."""
+    paths = [f"{folder}/current/slot={slot}/bucket={bucket}" for bucket, slot in slots.items()]
+    if not paths:
+        return spark.createDataFrame([], TABLE).drop("marker")
+    rows = _read(spark, TABLE, *paths, base=f"{folder}/current")
+    return rows.filter(~F.col("marker")).drop("marker", "slot", "bucket")
+
+
+def current_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """All current reports that ``emit_updates`` keeps in a folder, after its last whole batch."""
+    return _bucket_rows(spark, folder, _pointers(spark, folder, None)[1])
+
+
 def emit_updates(
     changes: DataFrame,
-    changelog: str,
+    folder: str,
     publish: Callable[[DataFrame, int], None],
     buckets: int = 512,
 ) -> DataStreamWriter:
-    """Write report changes to a changelog table and publish the touched patients of each batch.
+    """Keep the current reports as a table and publish the touched patients of each batch.
 
-    Every batch overwrites its own partition of the changelog, so a repeated batch changes nothing.
-    ``publish(reports, batch_id)`` gets all current reports of every patient the batch touched.
-    Only the buckets of those patients are read back.
+    ``publish(reports, batch_id)`` gets all current reports of every patient the batch touched. The
+    table is split by patient into ``buckets``; a batch reads and rewrites those it touches, so its cost
+    follows the current reports of these buckets and not the history. Each bucket has two folders: the
+    new state goes to the one not in use, then the pointers are switched. A repeated batch starts from
+    the pointers before it and gives the same result; space is at most twice the current reports.
     """
+    keys = ["patient_id", "report_id"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marked = batch.withColumn("batch_id", F.lit(batch_id)).withColumn(
-            "bucket", F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int")
+        placed = batch.withColumn("bucket", F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int"))
+        placed.write.mode("overwrite").parquet(f"{folder}/changes")
+        news = spark.read.schema(placed.schema).parquet(f"{folder}/changes")
+        touched = [row["bucket"] for row in news.select("bucket").distinct().collect()]
+        place, slots = _pointers(spark, folder, batch_id, buckets)
+        old = _bucket_rows(spark, folder, {b: slots[b] for b in touched if b in slots})
+        kept = old.join(news.select(*[F.col(k).alias(f"__{k}") for k in keys]),
+                        F.col("patient_id").eqNullSafe(F.col("__patient_id"))
+                        & F.col("report_id").eqNullSafe(F.col("__report_id")), "left_anti")
+        now = kept.unionByName(news.filter(~F.col("retracted")).drop("bucket", "retracted"))
+        target = {b: 1 - slots.get(b, 1) for b in touched}
+        marks = spark.createDataFrame([(b, slot) for b, slot in target.items()], "bucket int, slot int")
+        bucket = F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int")
+        rows = now.withColumn("marker", F.lit(False)).withColumn("bucket", bucket).join(
+            marks, "bucket"
+        ).unionByName(marks.withColumn("marker", F.lit(True)), allowMissingColumns=True)
+        (
+            rows.hint("rebalance", "bucket").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("slot", "bucket").parquet(f"{folder}/current")
         )
-        folder = f"{changelog}/batch={batch_id}"
-        marked.write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        written = spark.read.option("basePath", changelog).parquet(changelog).filter(
-            F.col("batch") <= batch_id
-        )
-        touched = written.filter(F.col("batch") == batch_id).select("patient_id", "bucket").distinct()
-        history = written.join(touched, ["patient_id", "bucket"], "left_semi")
-        current = latest_by_key(
-            history.drop("bucket", "batch"),
-            ["patient_id", "report_id"],
-            ["batch_id"],
-            F.col("retracted"),
+        if touched:
+            after = [(batch_id, buckets, b, slot) for b, slot in {**slots, **target}.items()]
+            spark.createDataFrame(after, POINTERS).coalesce(1).write.mode("overwrite").parquet(
+                f"{folder}/pointers/{1 - place}"
+            )
+        patients = news.select(F.col("patient_id").alias("__patient")).distinct()
+        written = _bucket_rows(spark, folder, target)
+        publish(
+            written.join(patients, F.col("patient_id").eqNullSafe(F.col("__patient")), "left_semi"), batch_id
         )
-        publish(current.drop("batch_id", "retracted"), batch_id)
 
     return changes.writeStream.outputMode("update").foreachBatch(write)
-
-
-def compact_changelog(spark, changelog: str, target: str) -> None:
-    """Rewrite a changelog as its current reports only, so that reading back stays cheap.
-
-    Written to a new folder; switch to it between two runs of the stream.
-    """
-    written = spark.read.parquet(changelog)
-    current = latest_by_key(
-        written, ["patient_id", "report_id"], ["batch_id"], F.col("retracted")
-    )
-    batch = current.drop("batch").withColumn("batch", F.lit(0))
-    batch.write.mode("overwrite").partitionBy("batch", "bucket").parquet(target)

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from oncolake.operators.consolidate import latest_by_key
@@ -36,9 +37,25 @@ def test_current_versions_do_not_depend_on_arrival(spark, tmp_path):
     batch = latest_by_key(spark.createDataFrame(rows, SCHEMA), ["patient_id", "report_id"], ["version", "export_id"])
     want = {(r["patient_id"], r["report_id"], r["export_id"]) for r in batch.collect()}
     assert {(r["patient_id"], r["report_id"], r["export_id"]) for r in got} == want
-    report_set.compact_changelog(spark, log, log + "-compact")
-    compact = spark.read.parquet(log + "-compact")
-    assert {(r["patient_id"], r["report_id"], r["export_id"]) for r in compact.collect()} == want
+    current = report_set.current_reports(spark, log).collect()
+    assert sorted((r["patient_id"], r["report_id"], r["export_id"]) for r in current) == sorted(want)
+
+
+def test_space_and_files_do_not_grow_with_history(spark, tmp_path):
+    """The same report changed in every batch, beside one that is taken back in the end."""
+    batches = [[("p", "r", n, f"{n:03}", f"x{n}", False)] for n in range(6)]
+    batches[0].append(("q", "s", 1, "q1", "y", False))
+    batches.append([("q", "s", 1, "q1", "y", True)])
+    out, log = run_stream(spark, tmp_path, batches)
+    current = report_set.current_reports(spark, log).collect()
+    assert [(r["patient_id"], r["payload"]) for r in current] == [("p", "x5")]
+    import pathlib
+
+    rows = spark.read.parquet(f"{log}/current").filter("not marker")
+    assert rows.filter("patient_id = 'p'").count() == 2  # this state and the one before
+    assert len(list(pathlib.Path(log, "pointers").iterdir())) == 2
+    with pytest.raises(ValueError):
+        report_set._pointers(spark, log, None, buckets=99)
 
 
 def test_retraction_restores_the_version_before(spark, tmp_path):
