@@ -272,3 +272,37 @@ def test_empty_tables(spark):
     assert byte_bpe.encode_documents(none, *byte_bpe.multi_50k()).count() == 0
     assert viterbi.count_tokens(none, (("a", -1.0),), False).count() == 0
     assert decontaminate.find_leaks(none, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def disguised(spark, count=60, filler="word und mot "):
+    """Documents with base cases and, as often, cases of the same kinds that no base rule matches."""
+    rnd = random.Random(9)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    texts = []
+    for i in range(count):
+        a, b, c = "2" + digits(2), digits(3), digits(4)
+        texts.append((4 * i, f"{filler}+1 ({a}) {b}-{c} {filler} mia.{digits(2)}@mail{i % 9}.example.com {filler}"))
+        texts.append((4 * i + 1, f"{filler}({b}) {a}-{c} {filler} leo{digits(2)} (at) mail{i % 9} (dot) org {filler}"))
+        texts.append((4 * i + 2, f"{filler}{a}-{b}-{c} {filler} {digits(8)} {filler} 9807915762804490 {filler}"))
+        texts.append((4 * i + 3, f'{filler}4111.1111.1111.1111 {filler} token = "{digits(12)}abcdef{digits(12)}" {filler}'))
+    return rows(spark, texts)
+
+
+@pytest.mark.parametrize("with_base", [True, False])
+def test_pii_finds_cases_that_no_base_rule_matches(spark, with_base):
+    documents = disguised(spark)
+    if not with_base:
+        documents = documents.filter("doc_id % 4 > 0")
+    found = pii.redact(pii.find_pii(documents, pii.fit_pii(documents))).collect()
+    for r in found:
+        left = re.sub(r"\[[A-Z]+\]|word und mot|token =|\"", "", r.text).split()
+        # Phones, addresses, cards and secrets are gone; other numbers stay.
+        want = ["[0-9]{8}", "9807915762804490"] if r.doc_id % 4 == 2 else []
+        assert len(left) == len(want) and all(map(re.fullmatch, want, left)), r.text
+
+
+def test_pii_looks_at_what_a_base_span_leaves_free(spark):
+    documents = rows(spark, [(1, "from 192.168.17.10 743-555-3824 on"), (2, "+1 (202) 555-0143 x 743-555-3824")])
+    model = pii.fit_pii(documents)
+    found = {r.doc_id: r.text for r in pii.redact(pii.find_pii(documents, model)).collect()}
+    assert found == {1: "from [IP] [NUMBER] on", 2: "[PHONE] x [NUMBER]"}
