@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm import boosting
@@ -19,6 +19,8 @@ from oncolake.llm.textbytes import pieces
 
 #: Pages the trees are fitted on at most, picked by a hash of their id; layouts made of each.
 SAMPLE_PAGES, LAYOUTS = 400, 4
+#: With fewer pages that label themselves in the sample, pages without a landmark are fitted on too.
+LEAST_LANDMARKS = 20
 #: What a split of a subtree into kept and dropped children costs, in units of log odds.
 SPLIT_COST = 1.5
 
@@ -265,6 +267,47 @@ def _landmarks(tree: Tree) -> np.ndarray | None:
     return label
 
 
+def _guessed(tree: Tree) -> np.ndarray | None:
+    """Labels of a page without landmarks, by attribute words, links and text; None without any text.
+
+    Blocks of running text count for the block around them and half for the one around that. The
+    block of most text is the article, without navigation, notices and the like.
+    """
+    _, own = node_features(tree)
+    if not own.any():
+        return None
+    links = np.zeros(len(own))
+    for node, text, link in tree.flow:
+        if link and text is not None and not text.isspace():
+            links[node] += len(text) - text.count(" ")
+    outside, score, top = np.zeros(len(own), bool), np.zeros(len(own)), np.zeros(len(own), bool)
+    for node in range(1, len(own)):
+        top[node] = top[tree.parent[node]] or tree.tag[node] == "header"  # does not choose the block
+        outside[node] = outside[tree.parent[node]] or tree.tag[node] in ("nav", "footer", "aside", "form", "menu") or any(
+            not tree.tokens[node].isdisjoint(names) for names in _TOKENS[:7]
+        )
+    plain = np.where(outside | top | (links > 0.3 * own), 0.0, own)
+    for least in (25, 0):
+        text = np.where(own >= least, plain, 0.0)
+        for node in range(len(own)):
+            up = tree.parent[node]
+            # Texts of paragraphs count for their container; those of containers for themselves.
+            holder = up if up >= 0 and tree.tag[node] not in _CONTAINERS else node
+            score[holder] += text[node]
+            if tree.parent[holder] >= 0:
+                score[tree.parent[holder]] += text[node] / 2
+        if score.any():
+            break
+    if not score.any():
+        return (own > 0).astype(float)
+    label = np.zeros(len(own))
+    best = int(score.argmax())
+    label[best] = 1
+    for node in range(best + 1, len(own)):
+        label[node] = label[tree.parent[node]] == 1 and not outside[node]
+    return label
+
+
 def _layouts(tree: Tree, label: np.ndarray, seed: int, count: int) -> list[str]:
     """Training pages of the texts of a page: other containers, sidebars, notices, forms, comments.
 
@@ -356,7 +399,7 @@ def _marked(source: str, tree: Tree) -> np.ndarray:
     return label
 
 
-def _training_rows(source: str, seed: int, layouts: int) -> tuple[np.ndarray, np.ndarray]:
+def _training_rows(source: str, seed: int, layouts: int, guess: bool = False) -> tuple[np.ndarray, np.ndarray]:
     tables, labels = [], []
 
     def add(tree: Tree, label: np.ndarray) -> None:
@@ -373,6 +416,10 @@ def _training_rows(source: str, seed: int, layouts: int) -> tuple[np.ndarray, np
 
     tree = parse(source)
     label = _landmarks(tree)
+    if label is not None and not any(label[n] == 1 and t and t.strip() for n, t, _ in tree.flow):
+        label = None  # a landmark without text
+    if label is None and guess:
+        label = _guessed(tree)
     if label is not None:
         add(tree, label)
         for page in _layouts(tree, label, seed, layouts):
@@ -383,29 +430,52 @@ def _training_rows(source: str, seed: int, layouts: int) -> tuple[np.ndarray, np
     return np.concatenate(tables), np.concatenate(labels)
 
 
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|iframe|noscript)\b.*?(?:</\1\s*>|\z)"
+_LANDMARK = r"(?i)<(?:article|main)[\s/>]"
+
+
 def fit_pages(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layouts: int = LAYOUTS) -> boosting.Trees:
     """Fit the trees on the nodes of at most ``sample_pages`` pages and of ``layouts`` made of each.
 
-    Pages with a landmark (article, main) label themselves; the layouts put their texts into other
-    containers, with sidebars, notices, adverts, forms and comments, so that the trees do not lean
-    on the landmark alone. Nodes of equal features are counted as one weighted row.
+    Pages with a landmark (article, main) label themselves, and the sample is taken among them; the
+    layouts put their texts into other containers, with sidebars, notices, adverts, forms and
+    comments, so that the trees do not lean on the landmark alone. Where fewer than
+    ``LEAST_LANDMARKS`` pages of the sample have one with text, as many pages of any kind are added,
+    labelled by ``_guessed`` if they have none. Without any text to fit on, all text is kept.
     """
-    ids = pages.select("page_id").filter("page_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    rows = pages.select("page_id", "html").join(F.broadcast(ids), "page_id")
+    source = F.col("html")
+    shown = F.regexp_replace(source, _HIDDEN, " ")
+    marked = F.when(source.rlike(_LANDMARK), shown.rlike(_LANDMARK)).otherwise(False)
+    worded = F.regexp_replace(shown, "<[^>]*>", " ").rlike(r"\S")
     ship_package(pages.sparkSession)
+    table, label, first = _measured(pages, marked, sample_pages, layouts, False)
+    if first.sum() < LEAST_LANDMARKS:
+        more = _measured(pages, worded, sample_pages, layouts, True)
+        table, label = np.concatenate([table, more[0]]), np.concatenate([label, more[1]])
+    if not len(label):
+        table, label = np.zeros((1, len(FEATURES))), np.ones(1)
+    return boosting.fit(table, label, trees=40, depth=4, rate=0.25)
+
+
+def _measured(
+    pages: DataFrame, wanted: Column, sample_pages: int, layouts: int, guess: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and whether a row is its page's first, of a sample of the pages ``wanted``."""
+    rows = pages.select("page_id", "html").filter("page_id is not null").filter(wanted)
+    ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    rows = rows.join(F.broadcast(ids), "page_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for page, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                table, label = _training_rows(source or "", zlib.crc32(str(page).encode()), layouts)
-                columns = [pa.array(label), *[pa.array(c) for c in table.T]]
-                yield pa.RecordBatch.from_arrays(columns, names=["label", *FEATURES])
+                table, label = _training_rows(source or "", zlib.crc32(str(page).encode()), layouts, guess)
+                columns = [pa.array(label), *[pa.array(c) for c in table.T], pa.array(np.arange(len(label)) == 0)]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", *FEATURES, "first"])
 
-    schema = "label double, " + ", ".join(f"{name} double" for name in FEATURES)
+    schema = "label double, " + ", ".join(f"{name} double" for name in FEATURES) + ", first boolean"
     found = rows.mapInArrow(measure, schema).toArrow()
     table = np.stack([found.column(name).to_numpy() for name in FEATURES], axis=1)
-    return boosting.fit(table, found.column("label").to_numpy(), trees=40, depth=4, rate=0.25)
+    return table, found.column("label").to_numpy(), found.column("first").to_numpy()
 
 
 def extract_text(source: str, model: boosting.Trees) -> str:

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import subprocess
 import sys
 
@@ -84,6 +85,31 @@ def test_pages(spark):
     assert pages.extract_pages(rows.filter("false"), model).count() == 0
 
 
+def test_pages_without_landmarks(spark):
+    table = spark.read.parquet(f"{SF}/pages.parquet").limit(60)
+    want, made = {}, []
+    for r in table.collect():
+        tree = pages.parse(r.html)
+        for k, page in enumerate(pages._layouts(tree, pages._landmarks(tree), 500 + r.page_id, 3)):
+            page = re.sub("<(/?)(article|main)(?=[ >])", r"<\1div", page)  # no landmark is left
+            parsed = pages.parse(page)
+            want[3 * r.page_id + k] = pages.flow_text(parsed, pages._marked(page, parsed) > 0)
+            made.append((3 * r.page_id + k, page.replace(" data-main", "")))
+    plain = spark.createDataFrame(made, "page_id long, html string")
+    found = {r.page_id: r.text for r in pages.extract_pages(plain, pages.fit_pages(plain)).collect()}
+    # A few of these pages have an article of two or three words, and some of those are dropped.
+    assert sum(not t for t in found.values()) < 0.1 * len(found)
+    shared = [len(set(found[i].split()) & set(t.split())) / len(set(found[i].split()) | set(t.split())) for i, t in want.items()]
+    assert np.mean(shared) > 0.8
+    # Pages with a landmark are found among many without, and hidden landmarks do not count.
+    mixed = plain.select("page_id", F.lit("<p>x</p><script>'<article>'</script>").alias("html")).unionByName(
+        table.select((F.col("page_id") + 1_000_000).alias("page_id"), "html"))
+    model = pages.fit_pages(mixed, sample_pages=40)
+    for r in table.collect():
+        tree = pages.parse(r.html)
+        assert pages.extract_text(r.html, model) == pages.flow_text(tree, pages._landmarks(tree) > 0)
+
+
 def test_pages_text_rules():
     tree = pages.parse("<article><p>a<b>b</b> c&#33;\n  d<br>e</p><p>f &lt; g</article>")
     assert pages.flow_text(tree, np.ones(len(tree.tag), bool)) == "ab c! d e f < g"
