@@ -1 +1 @@
-"""Operators of a training-data pipeline: ten jobs over documents, pages, vectors and conversations."""
+"""Operators of a training-data pipeline: thirteen jobs over documents, pages, vectors and conversations."""
