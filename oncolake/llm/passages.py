@@ -2,32 +2,39 @@
 
 A window is ``WINDOW`` consecutive words. Its anchor is the run of ``GRAM`` words in it with the
 least hash, so equal windows have equal anchors wherever they stand; consecutive windows of one
-anchor make a stretch. Stretches are counted as wholes. Of a stretch that is seen once, but whose
-anchor is not, the single windows are counted. Both ways confirm passages: word sequences of
-which every window recurs.
+anchor make a stretch. Stretches whose anchor recurs are counted as wholes. Of a stretch that is seen
+once, but whose anchor is not, the single windows are counted. Both ways confirm passages: word
+sequences of which every window recurs.
 
-Documents lie in shards of bounded size. A shard's automaton gets the confirmed passages of the
-stretches that occur in the shard, as words and without their places; one run of all its texts
-through the automaton finds every occurrence, and what an occurrence covers is repeated.
+Documents lie in packs of bounded size. A pack's automata get each confirmed passage that stands in
+the pack once, wherever and however often it stands there; a run of the texts through the automata
+finds every occurrence, and what an occurrence covers is repeated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import mix, pieces, powers, release_memory, span_hashes, utf8, words
-from oncolake.operators.staging import stage_table
+from oncolake.operators.staging import checkpoint_dir, stage_table
 
-WINDOW, GRAM = 35, 8
-#: Texts of a shard as a power of two; a text of more than ``LONG`` characters is a shard of its own.
-SHARD_BITS, LONG = 8, 1 << 14
+WINDOW, GRAM = 35, 6
+#: Bytes of text in a pack; one longer text is a pack of its own.
+PACK_BYTES = 1 << 21
+#: Words of passages in one automaton; more passages make more automata.
+AUTOMATON_WORDS = 1 << 19
+#: Letters that words are written with in an automaton: nodes then have few branches.
+DIGITS = 64
 
 _BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -51,11 +58,12 @@ def _sequence_hashes(codes: np.ndarray, which: int):
 
 
 def stretches(data: np.ndarray, starts: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
-    """All stretches of some texts: text number, first word in it, windows, anchor and content hash."""
+    """All stretches of some texts: first word (counted over all texts), windows, anchor and content hash."""
     begins, ends, bounds = words(data, starts)
     codes = span_hashes(data, begins, ends)
+    nothing = {name: np.zeros(0, np.int64) for name in ("at", "windows", "gram", "passage")}
     if len(codes) < window:
-        return {name: np.zeros(0, np.int64) for name in ("row", "start", "windows", "gram", "passage")}
+        return nothing
     hashed = _sequence_hashes(codes, 0)
     first = np.arange(len(codes) - gram + 1)
     grams = hashed(first, first + gram)
@@ -71,171 +79,219 @@ def stretches(data: np.ndarray, starts: np.ndarray, window: int, gram: int) -> d
     at = np.arange(len(order))
     row = np.searchsorted(bounds, at, "right") - 1
     inside = at + window <= bounds[row + 1]
-    at, anchor, row = at[inside], order[inside], row[inside]
+    at, anchor = at[inside], order[inside]
     if not len(at):
-        return {name: np.zeros(0, np.int64) for name in ("row", "start", "windows", "gram", "passage")}
+        return nothing
     # Windows of one anchor that follow each other; an anchor never serves two texts.
     fresh = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     count = np.diff(np.concatenate([fresh, [len(at)]]))
     begin = at[fresh]
     whole = _sequence_hashes(codes, 1)(begin, begin + count + window - 1)
     return {
-        "row": row[fresh], "start": begin - bounds[row[fresh]], "windows": count,
+        "at": begin, "windows": count,
         "gram": grams[anchor[fresh]].view(np.int64), "passage": whole.view(np.int64),
     }
 
 
-def _stretch_rows(window: int, gram: int):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pack_documents(documents: DataFrame, text: str) -> DataFrame:
+    """(shard, pack): all rows and columns, compressed, in packs of about ``PACK_BYTES`` of text.
+
+    The table is written once, bucketed by shard, so that joining small tables to it later does not
+    move the texts again.
+    """
+    spark = documents.sparkSession
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                found = stretches(*utf8(piece.column(1)), window, gram)
-                row = piece.column(0).to_numpy()[found["row"]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row, pa.int64()), pa.array(found["start"], pa.int32()),
-                     pa.array(found["windows"], pa.int32()), pa.array(found["gram"], pa.int64()),
-                     pa.array(found["passage"], pa.int64())],
-                    names=["row", "start", "windows", "gram", "passage"],
-                )
+            for piece in pieces(batch, text, PACK_BYTES):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(piece)
+                body = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), body], names=["shard", "pack"])
+                number += 1
 
-    return find
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"packs_{uuid.uuid4().hex}"
+    packed = documents.mapInArrow(pack, "shard long, pack binary").repartition(count, "shard")
+    writer = packed.write.format("parquet").option("compression", "none").bucketBy(count, "shard")
+    writer.option("path", f"{checkpoint_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
-_CUT = "gram long, passage long, times long, compare boolean, text string, hashes array<long>"
+def unpack(pack: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pack).read_all()
 
 
-def _cut(window: int):
-    """The words of wanted stretches, and of those to be compared the hash of each window."""
+def _in_packs(text: str, find):
+    """A function over batches of (shard, pack) that applies ``find`` to each pack's texts."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {name.split()[0]: [] for name in _CUT.split(", ")}
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = text.encode().split()  # at space and the control characters from tab to return
-                for item in wanted:
-                    own = parts[item["start"] : item["start"] + item["windows"] + window - 1]
-                    for name in ("gram", "passage", "times", "compare"):
-                        out[name].append(item[name])
-                    out["text"].append(b" ".join(own).decode())
-                    hashes = None
-                    if item["compare"]:
-                        size = np.cumsum([0, *map(len, own)])
-                        codes = span_hashes(np.frombuffer(b"".join(own), np.uint8), size[:-1], size[1:])
-                        at = np.arange(item["windows"])
-                        hashes = _sequence_hashes(codes, 1)(at, at + window).view(np.int64).tolist()
-                    out["hashes"].append(hashes)
-                    if len(out["text"]) >= 4096:
-                        yield _cut_batch(out)
-                        out = {name: [] for name in out}
-            if out["text"]:
-                yield _cut_batch(out)
+            for shard, pack in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield find(shard, *utf8(unpack(pack.as_buffer()).column(text)))
             release_memory()
 
-    return cut
+    return run
+
+
+def _anchors(window: int, gram: int):
+    def find(shard: int, data: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        grams, times = np.unique(stretches(data, starts, window, gram)["gram"], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(times, pa.int64())], names=["gram", "times"])
+
+    return find
+
+
+_STRETCH = "gram long, passage long, shard long, at int, windows int, times int"
+
+
+def _stretch_rows(window: int, gram: int):
+    """Each different stretch of a pack with its first place there and the number of its places."""
+
+    def find(shard: int, data: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        found = stretches(data, starts, window, gram)
+        order = np.lexsort((found["at"], found["passage"], found["gram"]))
+        grams, passage = found["gram"][order], found["passage"][order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (grams[1:] != grams[:-1]) | (passage[1:] != passage[:-1])
+        first = np.flatnonzero(fresh)
+        times = np.diff(np.concatenate([first, [len(order)]]))
+        own = order[first]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(grams[first], pa.int64()), pa.array(passage[first], pa.int64()),
+             pa.array(np.full(len(own), shard), pa.int64()), pa.array(found["at"][own], pa.int32()),
+             pa.array(found["windows"][own], pa.int32()), pa.array(times, pa.int32())],
+            names=[name.split()[0] for name in _STRETCH.split(", ")],
+        )
+
+    return find
 
 
-def _cut_batch(out: dict[str, list]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+_HASHED = "gram long, shard long, at int, times long, hashes array<long>"
+
+
+def _window_hashes(text: str, window: int):
+    """For stretches of a pack that are to be compared the hash of each window."""
+
+    def hashes(packs: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not packs.num_rows or not wanted.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in zip(("gram", "shard", "at", "times", "hashes"), types)})
+        data, starts = utf8(unpack(packs.column("pack")[0].as_buffer()).column(text))
+        begins, ends, _ = words(data, starts)
+        hashed = _sequence_hashes(span_hashes(data, begins, ends), 1)
+        at = wanted.column("at").to_numpy().astype(np.int64)
+        count = wanted.column("windows").to_numpy().astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(count)])
+        first = np.repeat(at, count) + np.arange(bounds[-1]) - np.repeat(bounds[:-1], count)
+        values = pa.array(hashed(first, first + window).view(np.int64))
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+        return pa.table({**{n: wanted.column(n) for n in ("gram", "shard", "at", "times")}, "hashes": lists})
+
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+    return hashes
 
 
 class PassageFinder:
-    """An Aho-Corasick automaton over the words of some passages."""
-
-    def __init__(self, passages: list[bytes]):
-        self.codes: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for passage in set(passages):
-            parts = passage.split()
-            key = tuple(self.codes.setdefault(word, len(self.codes) + 1) for word in parts)
-            self.automaton.add_word(key, len(key))
-        if self.codes:
-            self.automaton.make_automaton()
-
-    def covered(self, parts: list[bytes]) -> np.ndarray:
-        """For each word of a text whether an occurrence of a passage covers it."""
-        depth = np.zeros(len(parts) + 1, np.int64)
-        if self.codes:
-            get = self.codes.get
-            for end, length in self.automaton.iter(tuple(get(word, 0) for word in parts)):
-                depth[end + 1 - length] += 1
-                depth[end + 1] -= 1
-        return np.cumsum(depth)[:-1] > 0
-
-
-_FOUND = "row long, n_words long, n_removed long, kept string"
-
-
-def _search(texts: pa.Table, passages: pa.Table) -> pa.Table:
-    finder = PassageFinder([p.encode() for p in passages.column("passage").to_pylist()])
-    rows, total, removed, kept = texts.column("row").to_pylist(), [], [], []
-    for text in texts.column("text").to_pylist():
-        parts = text.encode().split()
-        covered = finder.covered(parts)
-        total.append(len(parts))
-        removed.append(int(covered.sum()))
-        left = parts if not removed[-1] else [w for w, c in zip(parts, covered.tolist()) if not c]
-        kept.append(b" ".join(left).decode())
-    release_memory()
-    return pa.table({"row": pa.array(rows, pa.int64()), "n_words": pa.array(total, pa.int64()),
-                     "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())})
-
-
-def confirmed_passages(rows: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """Stretches of all texts, and for recurring ones (gram, passage, text): words whose windows recur."""
-    found = stage_table(
-        rows.select("row", "text").mapInArrow(
-            _stretch_rows(window, gram), "row long, start int, windows int, gram long, passage long"
-        ),
-        "stretches",
-    )
+    """Aho-Corasick automata over the words of some passages, each of bounded size.
+
+    Every word is written with the same number of digits, each place with digits of its own, so that
+    matches begin and end with words.
+    """
+
+    def __init__(self, passages: Iterable[Sequence[bytes]]):
+        passages = [passage for passage in passages if passage]
+        known = dict.fromkeys(itertools.chain.from_iterable(passages))
+        self.width = 1
+        while DIGITS**self.width < len(known):
+            self.width += 1
+        places = [(DIGITS**i, DIGITS * i) for i in range(self.width)]
+        for code, word in enumerate(known):
+            known[word] = "".join([chr(code // power % DIGITS + shift) for power, shift in places])
+        self.codes, self.other = known, chr(DIGITS * self.width) * self.width
+        self.keys = {"".join([known[word] for word in passage]) for passage in passages}
+
+    def automata(self) -> Iterator[ahocorasick.Automaton]:
+        size, automaton = 0, None
+        for key in self.keys:
+            automaton = automaton or ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            automaton.add_word(key, len(key) // self.width)
+            size += len(key) // self.width
+            if size >= AUTOMATON_WORDS:
+                automaton.make_automaton()
+                yield automaton
+                size, automaton = 0, None
+        if automaton:
+            automaton.make_automaton()
+            yield automaton
+
+    def covered(self, texts: Sequence[Sequence[bytes]]) -> list[np.ndarray]:
+        """For each word of the texts whether an occurrence of a passage covers it."""
+        get, other, width = self.codes.get, self.other, self.width
+        written = ["".join([get(word, other) for word in parts]) for parts in texts]
+        depths = [np.zeros(len(parts) + 1, np.int64) for parts in texts]
+        for automaton in self.automata():
+            for text, depth in zip(written, depths):
+                found = np.array([x for match in automaton.iter(text) for x in match], np.int64).reshape(-1, 2)
+                ends = (found[:, 0] + 1) // width
+                np.add.at(depth, ends - found[:, 1], 1)
+                np.subtract.at(depth, ends, 1)
+        return [np.cumsum(depth)[:-1] > 0 for depth in depths]
+
+
+def _search(text: str, names: list[str]):
+    """The rows of a pack with what is left of their texts."""
+
+    def search(packs: pa.Table, places: pa.Table) -> pa.Table:
+        table = unpack(packs.column("pack")[0].as_buffer())
+        # Bytes split at space and the control characters from tab to carriage return, and only there.
+        texts = [(value or "").encode().split() for value in table.column(text).to_pylist()]
+        every = list(itertools.chain.from_iterable(texts))
+        spans = zip(places.column("at").to_pylist(), places.column("until").to_pylist())
+        covered = PassageFinder(every[at:until] for at, until in spans).covered(texts)
+        del every
+        kept = [b" ".join(itertools.compress(parts, (~gone).tolist())).decode() for parts, gone in zip(texts, covered)]
+        counts = [pa.array([len(parts) for parts in texts], pa.int64()),
+                  pa.array([int(gone.sum()) for gone in covered], pa.int64())]
+        release_memory()
+        return pa.table([*[table.column(c) for c in names], *counts, pa.array(kept, pa.string())],
+                        names=[*names, "n_words", "n_removed", "kept"])
+
+    return search
+
+
+def confirmed_places(packs: DataFrame, text: str, window: int, gram: int) -> DataFrame:
+    """(shard, at, until): where confirmed passages stand, each once per pack, in words of the pack."""
+    anchors = packs.mapInArrow(_in_packs(text, _anchors(window, gram)), "gram long, times long")
+    recurring = anchors.groupBy("gram").agg(F.sum("times").alias("times")).filter("times > 1").select("gram")
+    found = packs.mapInArrow(_in_packs(text, _stretch_rows(window, gram)), _STRETCH)
+    found = stage_table(found.join(recurring, "gram", "left_semi"), "stretches")
     kinds = found.groupBy("gram", "passage").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "start", "windows")).alias("at")
+        F.sum("times").alias("times"), F.min(F.struct("shard", "at", "windows")).alias("place")
     )
     kinds = stage_table(kinds, "kinds")
-    grams = kinds.groupBy("gram").agg(
-        F.sum("times").alias("seen"), F.count_if(F.col("times") == 1).alias("single"), F.count(F.lit(1)).alias("kinds")
-    )
-    grams = grams.filter("seen > 1").select("gram", (F.expr("single > 0 AND kinds > 1")).alias("compare"))
-    wanted = kinds.join(grams, "gram").select(
-        F.col("at.row").alias("row"),
-        F.struct("at.start", "at.windows", "gram", "passage", "times", "compare").alias("item"),
-    )
-    lists = wanted.groupBy("row").agg(F.collect_list("item").alias("wanted"))
-    cut = stage_table(rows.join(lists, "row").select("text", "wanted").mapInArrow(_cut(window), _CUT), "passages")
+    mixed = kinds.groupBy("gram").agg(F.count_if(F.col("times") == 1).alias("single"), F.count(F.lit(1)).alias("kinds"))
+    mixed = mixed.filter("single > 0 AND kinds > 1").select("gram")
+    wanted = kinds.join(mixed, "gram").select("gram", "times", "place.*")
     # Windows of stretches seen once that occur in another stretch of the same anchor.
-    single = cut.filter("compare").select(
-        "gram", "passage", "times", F.posexplode("hashes").alias("offset", "hash")
+    hashed = packs.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(_window_hashes(text, window), _HASHED)
+    hashed = stage_table(hashed, "windows")
+    again = hashed.select("gram", "times", F.explode("hashes").alias("hash")).groupBy("gram", "hash").agg(
+        F.sum("times").alias("seen")
     )
-    again = single.groupBy("gram", "hash").agg(F.sum("times").alias("seen")).filter("seen > 1").drop("seen")
-    offsets = single.filter("times = 1").join(again, ["gram", "hash"]).groupBy("gram", "passage").agg(
+    single = hashed.filter("times = 1").select("gram", "shard", "at", F.posexplode("hashes").alias("offset", "hash"))
+    offsets = single.join(again.filter("seen > 1").drop("seen"), ["gram", "hash"]).groupBy("shard", "at").agg(
         F.sort_array(F.collect_list("offset")).alias("offsets")  # at most window - gram + 1 of them
     )
     begins = F.filter("offsets", lambda o: ~F.array_contains("offsets", o - 1))
     ends = F.filter("offsets", lambda o: ~F.array_contains("offsets", o + 1))
-    parts = F.split("text", " ")
-    texts = F.zip_with(begins, ends, lambda b, e: F.array_join(F.slice(parts, b + 1, e - b + window), " "))
-    pieces_ = cut.filter("compare AND times = 1").join(offsets, ["gram", "passage"]).select(
-        "gram", "passage", F.explode(texts).alias("text")
-    )
-    whole = cut.filter("times > 1").select("gram", "passage", "text")
-    return found, whole.unionAll(pieces_)
-
-
-def shard_of(row: str = "row"):
-    """The shard of a row number; long texts have negative numbers and a shard each."""
-    return F.when(F.col(row) < 0, F.col(row)).otherwise(F.shiftright(row, SHARD_BITS))
-
-
-def find_passages(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(row, n_words, n_removed, kept) for a written table of (row, text) without nulls."""
-    found, passages = confirmed_passages(rows, window, gram)
-    places = found.select("gram", "passage", shard_of().alias("shard")).distinct()
-    routed = places.join(passages, ["gram", "passage"]).select("shard", F.col("text").alias("passage"))
-    texts = rows.select(shard_of().alias("shard"), "row", "text")
-    return (
-        texts.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(_search, _FOUND)
+    runs = F.explode(F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("b"), e.alias("e"))))
+    parts = offsets.select("shard", "at", runs.alias("run")).select(
+        "shard", (F.col("at") + F.col("run.b")).alias("at"), (F.col("at") + F.col("run.e") + window).alias("until")
     )
+    whole = found.join(kinds.filter("times > 1").select("gram", "passage"), ["gram", "passage"], "left_semi")
+    return whole.select("shard", "at", (F.col("at") + F.col("windows") + (window - 1)).alias("until")).unionAll(parts)
 
 
 def remove_passages(
@@ -248,19 +304,17 @@ def remove_passages(
     one space. Words are runs of characters other than space and the control characters from tab to
     carriage return. A null text has no words; a text shorter than a window keeps all of them.
     Repeated rows are documents of their own, so their windows recur. Columns of the three names are
-    replaced, all others pass through. An empty table gives an empty one.
+    replaced, all others pass through. An empty table gives an empty one. ``gram`` changes speed only.
     """
     names = ("n_words", "n_removed", "kept")
-    others = [c for c in documents.columns if c not in names]
+    others = documents.select(*[c for c in documents.columns if c not in names])
     ship_package(documents.sparkSession)
-    number = F.monotonically_increasing_id()
-    row = F.when(F.length(text) > LONG, -number - 1).otherwise(number)
-    numbered = stage_table(documents.select(F.struct(*others).alias("document"), row.alias("row")), "documents")
-    rows = numbered.select("row", F.coalesce(F.col(f"document.{text}"), F.lit("")).alias("text"))
-    found = find_passages(rows, window, gram)
-    return numbered.select(F.col("row").alias("__row"), "document").join(
-        found, F.col("__row") == F.col("row")
-    ).select("document.*", *names)
+    packs = pack_documents(others, text)
+    places = confirmed_places(packs, text, window, gram)
+    schema = others.select(
+        "*", *[F.lit(0).cast(kind).alias(n) for n, kind in zip(names, ("long", "long", "string"))]
+    ).schema
+    return packs.groupBy("shard").cogroup(places.groupBy("shard")).applyInArrow(_search(text, others.columns), schema)
 
 
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

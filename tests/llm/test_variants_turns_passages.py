@@ -223,10 +223,10 @@ def test_passages_query_equals_plain_version_and_sql(spark):
     assert {r[0]: r[1:] for r in con.sql(passages.OP13_SQL).fetchall()} == want
 
 
-@pytest.mark.parametrize("window,gram,bits", [(5, 2, 0), (6, 1, 3), (35, 8, 8)])
-def test_passages_equal_plain_version(spark, monkeypatch, window, gram, bits):
-    monkeypatch.setattr(passages, "SHARD_BITS", bits)
-    monkeypatch.setattr(passages, "LONG", 3000)
+@pytest.mark.parametrize("window,gram,size", [(5, 2, 100), (6, 1, 2000), (35, 6, 1 << 21)])
+def test_passages_equal_plain_version(spark, monkeypatch, window, gram, size):
+    monkeypatch.setattr(passages, "PACK_BYTES", size)
+    monkeypatch.setattr(passages, "AUTOMATON_WORDS", 100)
     rnd = random.Random(window)
     text = lambda n, k: " ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz"[:k]) for _ in range(n))
     shared = [text(60, 26), text(45, 26), text(window, 26), text(window - 1, 26)]
@@ -251,9 +251,27 @@ def test_passages_equal_plain_version(spark, monkeypatch, window, gram, bits):
 
 
 def test_automaton_decides(spark, monkeypatch):
-    """Occurrences come from the automaton: without its passages nothing is removed."""
-    monkeypatch.setattr(passages.PassageFinder, "covered", lambda self, parts: passages.np.zeros(len(parts), bool))
-    finder = passages.PassageFinder([b"a b c"])
-    assert not finder.covered(b"x a b c".split()).any()
-    monkeypatch.undo()
-    assert passages.PassageFinder([b"a b c", b"b c d"]).covered(b"x a b c d a b".split()).tolist() == [False, True, True, True, True, False, False]
+    """Occurrences come from the automata: of two copies in a pack one place is told, and without automata none is found."""
+    rows = [(i, " ".join(f"w{j}" for j in range(50))) for i in range(4)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    packs = passages.pack_documents(table, "text")
+    assert packs.count() == 1
+    told = [(r.at, r.until) for r in passages.confirmed_places(packs, "text", 35, 6).collect()]
+    assert told and all(until <= 50 for _, until in told)
+    assert [r.kept for r in passages.remove_passages(table).sort("doc_id").collect()] == [""] * 4
+    monkeypatch.setattr(passages.PassageFinder, "automata", lambda self: iter(()))
+    assert not any(passages.PassageFinder([[b"a", b"b"]]).covered([[b"a", b"b"]])[0])
+
+
+def test_matches_begin_and_end_with_words(monkeypatch):
+    monkeypatch.setattr(passages, "DIGITS", 2)
+    words = [str(i).encode() for i in range(100)]
+    texts = [words, words[::-1], [*words[40:60], b"other", *words[60:80]], []]
+    finder = passages.PassageFinder([words[i : i + 5] for i in range(0, 60, 3)] + [[]])
+    assert finder.width == 6
+    for text, covered in zip(texts, finder.covered(texts)):
+        want = [False] * len(text)
+        for i in range(len(text) - 4):
+            if any(text[i : i + 5] == words[j : j + 5] for j in range(0, 60, 3)):
+                want[i : i + 5] = [True] * 5
+        assert covered.tolist() == want
