@@ -1191,3 +1191,26 @@ ORACLE["bundles_to_views"] = mapping(
     _LATEST,
     _DEATHS.replace("FROM rep,", "FROM latest rep,").replace("FROM rep WHERE", "FROM latest rep WHERE"),
 )
+
+
+# ---- views of all sections ------------------------------------------------------------------------
+
+
+def _of_latest(job: str) -> str:
+    """A job's result over the newest version of every report."""
+    newest = mapping("SELECT export_id FROM latest", _LATEST)
+    return ORACLE[f"map_{job}"].replace(" FROM vals)", f" FROM vals WHERE export_id IN (SELECT export_id FROM ({newest})))", 1)
+
+
+_VIEW_JOBS = {
+    "patients": ["patients"],
+    "conditions": ["conditions", "earlier_tumours"],
+    "observations": [job for job, kind in _TYPES.items() if kind == "Observation"],
+    "procedures": [job for job, kind in _TYPES.items() if kind == "Procedure"],
+    "medication_statements": ["medication_statements"],
+}
+ORACLE["views_by_path"] = " UNION ALL ".join(
+    f"SELECT '{view}' AS view, count(DISTINCT id) AS resources, CAST(0 AS BIGINT) AS differing FROM ("
+    + " UNION ALL ".join(f"SELECT id FROM ({_of_latest(job)})" for job in jobs) + ")"
+    for view, jobs in _VIEW_JOBS.items()
+)

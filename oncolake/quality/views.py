@@ -14,6 +14,7 @@ from pyspark.sql.types import NumericType
 from oncolake import config as C
 from oncolake.config import DEFAULT, MappingConfig
 from oncolake.operators.staging import full_join_hot_left, left_join_hot_right
+from oncolake.quality.paths import extract_paths
 
 
 def extract_view(df: DataFrame, columns: dict[str, Column], repeated: dict[str, Column] | None = None) -> DataFrame:
@@ -31,11 +32,6 @@ def where_system(codings: Column, system: str) -> Column:
     return F.filter(codings, lambda c: c["system"] == system)
 
 
-def reference_id(ref: Column) -> Column:
-    """The id of a ``Type/id`` reference."""
-    return F.substring_index(ref, "/", -1)
-
-
 def _first(items: Column) -> Column:
     return F.try_element_at(items, F.lit(1))
 
@@ -49,85 +45,67 @@ BASE_TABLES = {
 }
 
 
+def base_paths(cfg: MappingConfig = DEFAULT) -> dict[str, dict[str, str]]:
+    """The base views as tables of paths."""
+    icd = f"code.coding.where(system='{C.ICD10GM}')"
+    ops = f"code.coding.where(system='{C.OPS}')"
+    death = cfg.code_system("tod")
+    return {
+        "patients": {
+            "patient_id": "id",
+            "gender": "gender",
+            "date_of_birth": "birthDate",
+            "deceased_date_time": "deceasedDateTime",
+            "deceased": "deceasedBoolean",
+        },
+        "conditions": {
+            "condition_id": "id",
+            "icd_code": f"{icd}.code",
+            "icd_version": f"{icd}.version",
+            "subject_reference": "subject.reference",
+            "asserted_date": f"extension('{C.ASSERTED_DATE}').valueDateTime.first()",
+            "recorded_date": "recordedDate",
+            "meta_profile_con": "meta.profile",
+        },
+        "observations": {
+            "observation_id": "id",
+            "subject_reference": "subject.reference",
+            "code_system": "code.coding.system",
+            "code_code": "code.coding.code.first()",
+            "value_codeable_concept_coding_code": "valueCodeableConcept.coding.code",
+            "value_codeable_concept_coding_system": "valueCodeableConcept.coding.system",
+            "effective_date_time": "effectiveDateTime",
+            "meta_profile": "meta.profile.first()",
+            "interpretation_tod_tumorbedingt_code": f"interpretation.coding.where(system='{death}').code",
+        },
+        "procedures": {
+            "procedure_id": "id",
+            "ops_system": f"{ops}.system.first()",
+            "ops_version": f"{ops}.version.first()",
+            "ops_code": f"{ops}.code.first()",
+            "subject_reference_procedure": "subject.reference",
+            "performed_date_time": "performedDateTime",
+            "performed_period_start": "performedPeriod.start",
+            "meta_profile_procedure": "meta.profile.first()",
+            "reason_reference_condition_id": "reasonReference.reference.referenceId()",
+        },
+        "medication_statements": {
+            "medication_statement_id": "id",
+            "subject_reference": "subject.reference",
+            "effective_period_start": "effectivePeriod.start",
+            "effective_period_end": "effectivePeriod.end",
+            "meta_profile": "meta.profile.first()",
+        },
+    }
+
+
 def views_from_resources(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) -> dict[str, DataFrame]:
     """Base views from decoded resources (``read_bundles``), one per table that is given."""
-    col = F.col
-    death = cfg.code_system("tod")
-    makers = {
-        "patients": lambda: extract_view(
-            tables["Patient"],
-            {
-                "patient_id": col("id"),
-                "gender": col("gender"),
-                "date_of_birth": col("birthDate"),
-                "deceased_date_time": col("deceasedDateTime"),
-                "deceased": col("deceasedBoolean"),
-            },
-        ),
-        "conditions": lambda: extract_view(
-            tables["Condition"],
-            {
-                "condition_id": col("id"),
-                "icd_code": col("icd")["code"],
-                "icd_version": col("icd")["version"],
-                "subject_reference": col("subject.reference"),
-                "asserted_date": _first(
-                    F.filter(col("extension"), lambda e: e["url"] == C.ASSERTED_DATE)
-                )["valueDateTime"],
-                "recorded_date": col("recordedDate"),
-                "meta_profile_con": col("profile_con"),
-            },
-            {
-                "icd": where_system(col("code.coding"), C.ICD10GM),
-                "profile_con": col("meta.profile"),
-            },
-        ),
-        "observations": lambda: extract_view(
-            tables["Observation"],
-            {
-                "observation_id": col("id"),
-                "subject_reference": col("subject.reference"),
-                "code_system": col("code_coding")["system"],
-                "code_code": _first(col("code.coding"))["code"],
-                "value_codeable_concept_coding_code": col("value_coding")["code"],
-                "value_codeable_concept_coding_system": col("value_coding")["system"],
-                "effective_date_time": col("effectiveDateTime"),
-                "meta_profile": _first(col("meta.profile")),
-                "interpretation_tod_tumorbedingt_code": col("tod_coding")["code"],
-            },
-            {
-                "code_coding": col("code.coding"),
-                "value_coding": col("valueCodeableConcept.coding"),
-                "tod_coding": where_system(F.flatten(col("interpretation.coding")), death),
-            },
-        ),
-        "procedures": lambda: extract_view(
-            tables["Procedure"],
-            {
-                "procedure_id": col("id"),
-                "ops_system": _first(where_system(col("code.coding"), C.OPS))["system"],
-                "ops_version": _first(where_system(col("code.coding"), C.OPS))["version"],
-                "ops_code": _first(where_system(col("code.coding"), C.OPS))["code"],
-                "subject_reference_procedure": col("subject.reference"),
-                "performed_date_time": col("performedDateTime"),
-                "performed_period_start": col("performedPeriod.start"),
-                "meta_profile_procedure": _first(col("meta.profile")),
-                "reason_reference_condition_id": reference_id(col("reason")["reference"]),
-            },
-            {"reason": col("reasonReference")},
-        ),
-        "medication_statements": lambda: extract_view(
-            tables["MedicationStatement"],
-            {
-                "medication_statement_id": col("id"),
-                "subject_reference": col("subject.reference"),
-                "effective_period_start": col("effectivePeriod.start"),
-                "effective_period_end": col("effectivePeriod.end"),
-                "meta_profile": _first(col("meta.profile")),
-            },
-        ),
+    return {
+        name: extract_paths(tables[BASE_TABLES[name]], paths)
+        for name, paths in base_paths(cfg).items()
+        if BASE_TABLES[name] in tables
     }
-    return {name: make() for name, make in makers.items() if BASE_TABLES[name] in tables}
 
 
 def views_from_tables(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) -> dict[str, DataFrame]:

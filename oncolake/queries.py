@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from oncolake.operators.staging import checkpoint_dir, stage_table
 from oncolake.plans import derived
 from oncolake.plans import pipeline as P
 from oncolake.quality import expectations as E
+from oncolake.quality import paths as X
 from oncolake.quality import suites as Q
 from oncolake.quality import views as V
 from oncolake.resources.envelope import to_envelope
@@ -1307,6 +1309,30 @@ def bundles_to_views(spark, sf):
     )
 
 
+@query
+def views_by_path(spark, sf):
+    """Bundles of all sections as JSON text, read back through path tables over an inferred schema.
+
+    Per view its number of resources, and the rows in which it differs from the view of the typed tables.
+    """
+    rows = stage_table(K.retain_latest_version(reports(spark, sf)), "reports", ["sections"])
+    tables = P.map_all(rows, CFG, drug_map(spark, sf), classification_map(spark, sf), types=tuple(V.BASE_TABLES.values()))
+    tables = {kind: stage_table(rows_, "resources") for kind, rows_ in tables.items()}
+    envelopes = P.to_envelopes(tables, CFG).withColumn("entry_pos", F.struct("rank_key", "emit_seq", "report_id"))
+    built = stage_table(B.build_bundles(envelopes).select(F.col("bundle_json").alias("value")), "bundles")
+    decoded = stage_table(resources.bundle_resources(built), "decoded", ["resource_type"])
+    typed = V.views_from_tables(tables, CFG)
+    results = []
+    for name, columns in V.base_paths(CFG).items():
+        found = X.view_of_resources(decoded, V.BASE_TABLES[name], columns)
+        both = found.withColumn("side", F.lit(1)).unionByName(typed[name].withColumn("side", F.lit(-1)))
+        compared = both.groupBy(*columns).agg(F.sum("side").alias("side"))
+        results.append(compared.agg(
+            F.count_distinct(next(iter(columns))).alias("resources"), F.count_if(F.col("side") != 0).alias("differing")
+        ).select(F.lit(name).alias("view"), "resources", "differing"))
+    return reduce(DataFrame.unionAll, results)
+
+
 # ---- streaming ---------------------------------------------------------------------------------
 
 
