@@ -54,6 +54,18 @@ def pick_by_key(
     return picked.select(*keys, "__row.*").select(*df.columns)
 
 
+def rows_of_winners(df: DataFrame, winners: DataFrame, row: str) -> DataFrame:
+    """The whole rows of some row ids, with further columns that ``winners`` brings.
+
+    Winners are decided on narrow rows; only here are bodies read, and only columns that are used
+    later on, as a join lets the scan be pruned and an aggregate over whole rows does not.
+    """
+    if winners.columns == [row]:
+        return df.join(winners, row, "left_semi")
+    named = winners.withColumnRenamed(row, "__row")
+    return df.join(named, df[row] == named["__row"]).drop("__row")
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -74,13 +86,21 @@ def retain_latest_version(
     df: DataFrame,
     keys: Sequence[str] = ("patient_id", "report_id"),
     order: Sequence[str | Column] = ("version", "export_id"),
+    row: str | None = None,
 ) -> DataFrame:
     """Per patient and report id, the row with the highest version; the export id breaks ties.
 
-    Rows with a null in a key are nobody's version: all of them stay.
+    Rows with a null in a key are nobody's version: all of them stay. ``row`` names a column that
+    identifies each row of a table that reads the same every time (a written one): then winners are
+    decided on keys, order and row ids, and whole rows are fetched afterwards.
     """
     keyed = reduce(operator.and_, [F.col(key).isNotNull() for key in keys])
-    return pick_by_key(df.filter(keyed), keys, order).unionByName(df.filter(~keyed))
+    if row is None:
+        return pick_by_key(df.filter(keyed), keys, order).unionByName(df.filter(~keyed))
+    own = F.when(~keyed, F.col(row))
+    groups = df.groupBy(*keys, own.alias("__own"))
+    winners = groups.agg(F.max_by(row, F.struct(*_columns(order))).alias(row)).select(row)
+    return rows_of_winners(df, winners, row)
 
 
 def first_report_of_message(df: DataFrame) -> DataFrame:
@@ -163,13 +183,8 @@ progress_reports = _preferred("Verlauf")
 board_reports = _preferred("Tumorkonferenz")
 
 
-def consolidate_reports(df: DataFrame, include_pathology: bool = True) -> DataFrame:
-    """The reports that make up each patient's and tumour's current picture.
-
-    Diagnosis, surgery and death reports all stay; of a therapy, course or board the report with
-    the winning reason stays. All rules are one aggregate: a report's selection key is its therapy
-    id, or the report itself where every report stays. Adds ``section`` and ``section_rank``.
-    """
+def _selection_entries(include_pathology: bool) -> Column:
+    """For each section a report carries the key under which it competes, and its preference."""
     report = F.col("report")
     entries = []
     for section, rank in SECTION_RANK.items():
@@ -189,16 +204,69 @@ def consolidate_reports(df: DataFrame, include_pathology: bool = True) -> DataFr
             preference.alias("preference"),
         )
         entries.append(F.when(part.isNotNull(), entry))
-    keyed = df.withColumn("__entry", F.explode(F.array_compact(F.array(*entries)))).select(
-        *df.columns, "__entry.*"
+    return F.array_compact(F.array(*entries))
+
+
+_COMPETING = ["patient_id", "tumor_id", "section", "selection_key"]
+
+
+def consolidate_reports(df: DataFrame, include_pathology: bool = True, row: str | None = None) -> DataFrame:
+    """The reports that make up each patient's and tumour's current picture.
+
+    Diagnosis, surgery and death reports all stay; of a therapy, course or board the report with
+    the winning reason stays. All rules are one aggregate: a report's selection key is its therapy
+    id, or the report itself where every report stays. Adds ``section`` and ``section_rank``.
+
+    ``row`` as in ``retain_latest_version``: winners are decided on narrow rows, reports fetched later.
+    """
+    entries = F.explode(_selection_entries(include_pathology))
+    if row is not None:
+        narrow = df.select(*_NARROW, row, entries.alias("__entry"))
+        return rows_of_winners(df, _winning_entries(narrow, row).select(row, "section", "section_rank"), row)
+    keyed = df.withColumn("__entry", entries).select(*df.columns, "__entry.*")
+    picked = pick_by_key(keyed, _COMPETING, ["preference", *_newest_first()], last=False)
+    return picked.drop("selection_key", "preference")
+
+
+_NARROW = ["patient_id", "tumor_id", "report_id", "export_id", "report_date"]
+
+
+def _winning_entries(narrow: DataFrame, row: str) -> DataFrame:
+    """One row per section of a patient's tumour and selection key: the report that wins."""
+    keyed = narrow.select(*_NARROW, row, "__entry.*")
+    order = F.struct("preference", *_newest_first())
+    won = keyed.groupBy(*_COMPETING).agg(
+        F.min_by(F.struct("report_id", "export_id", row, "section_rank"), order).alias("__won")
+    )
+    return won.select("patient_id", "tumor_id", "section", "__won.*")
+
+
+def winning_reports(df: DataFrame, row: str = "row_id", include_pathology: bool = True) -> DataFrame:
+    """Which reports ``retain_latest_version`` and ``consolidate_reports`` keep, decided on narrow rows.
+
+    One row per winning section: ``patient_id, tumor_id, section, report_id, export_id, section_rank``
+    and the report's row id. No report body is shuffled or sorted.
+    """
+    narrow = df.select(*_NARROW, "version", row, _selection_entries(include_pathology).alias("__entries"))
+    own = F.when(F.col("patient_id").isNull() | F.col("report_id").isNull(), F.col(row))
+    newest = narrow.groupBy("patient_id", "report_id", own.alias("__own")).agg(
+        F.max_by(
+            F.struct("tumor_id", "export_id", "report_date", row, "__entries"), F.struct("version", "export_id")
+        ).alias("__new")
     )
-    picked = pick_by_key(
-        keyed,
-        ["patient_id", "tumor_id", "section", "selection_key"],
-        ["preference", *_newest_first()],
-        last=False,
+    entries = newest.select("patient_id", "report_id", "__new.*").select(
+        *_NARROW, row, F.explode("__entries").alias("__entry")
     )
-    return picked.drop("selection_key", "preference")
+    return _winning_entries(entries, row)
+
+
+def current_reports(df: DataFrame, row: str = "row_id", include_pathology: bool = True) -> DataFrame:
+    """The reports of ``winning_reports``, each fetched once per section it wins for.
+
+    ``row`` must identify rows of a table that reads the same every time (a written one).
+    """
+    winners = winning_reports(df, row, include_pathology)
+    return rows_of_winners(df, winners.select(row, "section", "section_rank"), row)
 
 
 def merge_report_group(

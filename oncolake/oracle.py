@@ -1214,3 +1214,4 @@ ORACLE["views_by_path"] = " UNION ALL ".join(
     + " UNION ALL ".join(f"SELECT id FROM ({_of_latest(job)})" for job in jobs) + ")"
     for view, jobs in _VIEW_JOBS.items()
 )
+ORACLE["consolidated_in_steps"] = ORACLE["consolidated_reports"]

@@ -586,9 +586,13 @@ def _sections() -> dict[str, str]:
     }
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal the orders out evenly; expanding them to documents is costly, moving them is not."""
-    return df.repartition("o_orderkey")
+def _spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the orders out evenly; expanding them to documents is costly, moving them is not.
+
+    The number is given (the default parallelism, if not by the caller), as without one the adaptive
+    planner would merge partitions by their small size before the expansion.
+    """
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, "o_orderkey")
 
 
 def derived_documents(

@@ -13,7 +13,7 @@ from oncolake.config import DEFAULT, MappingConfig
 from oncolake.functions.clinical import application_code, gleason_score
 from oncolake.functions.ids import resource_id, slugify
 from oncolake.operators.bundles import add_provenance, build_bundles, upsert_entries
-from oncolake.operators.consolidate import bundle_key, consolidate_reports, retain_latest_version
+from oncolake.operators.consolidate import bundle_key, current_reports
 from oncolake.operators.reports import entries_bundle_id, prepare_reports, with_rank_key
 from oncolake.operators.staging import stage_table
 from oncolake.resources.outcomes import PROGRESS_LISTS
@@ -264,15 +264,19 @@ def prepare_documents(
     parsed = raw if "document" in raw.columns else parse_reports(raw)
     if "parse_error" not in parsed.columns:
         parsed = parsed.withColumn("parse_error", F.lit(None).cast("string"))
-    prepared = stage_table(prepare_reports(parsed, cfg, lookup), "reports")
+    numbered = prepare_reports(parsed, cfg, lookup).withColumn("row_id", F.monotonically_increasing_id())
+    prepared = stage_table(numbered, "reports")
     return split_quarantine(prepared, report_checks())
 
 
 def consolidated(reports: DataFrame, cfg: MappingConfig = DEFAULT) -> DataFrame:
-    """Newest versions, winning therapy reports, in processing order; staged by section."""
-    latest = retain_latest_version(reports)
-    picked = with_rank_key(consolidate_reports(latest, cfg.include_pathology).drop("rank_key"))
-    return stage_table(picked.drop("section"), "consolidated", ["sections"])
+    """Newest versions, winning therapy reports, in processing order; staged by section.
+
+    ``reports`` as ``prepare_documents`` stages them, with their ``row_id``.
+    """
+    current = current_reports(reports, "row_id", cfg.include_pathology)
+    picked = with_rank_key(current.drop("rank_key"))
+    return stage_table(picked.drop("section", "row_id"), "consolidated", ["sections"])
 
 
 def bundle_entries(

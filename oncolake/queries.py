@@ -202,17 +202,24 @@ def bundle_key(spark, sf):
     ).filter(F.col("bundle_key").isNotNull())
 
 
-def _consolidated(spark, sf):
-    latest = K.retain_latest_version(reports(spark, sf))
-    return K.consolidate_reports(latest)
+_CURRENT = ["patient_id", "tumor_id", "report_id", "export_id", "section", "section_rank"]
+
+
+def with_row_id(rows: DataFrame) -> DataFrame:
+    """Derived reports are one per export, so the place in the export identifies a row."""
+    return rows.withColumn("row_id", F.concat_ws("/", "export_id", "patient_pos", "report_pos"))
 
 
 @query
 def consolidated_reports(spark, sf):
     """Reports that survive version and reason rules, per patient and tumour."""
-    return _consolidated(spark, sf).select(
-        "patient_id", "tumor_id", "report_id", "export_id", "section", "section_rank"
-    )
+    return K.winning_reports(with_row_id(reports(spark, sf))).select(*_CURRENT)
+
+
+@query
+def consolidated_in_steps(spark, sf):
+    """The same rules one after the other, on whole rows."""
+    return K.consolidate_reports(K.retain_latest_version(reports(spark, sf))).select(*_CURRENT)
 
 
 def _section_selection(select, section, id_field):
@@ -1441,7 +1448,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     Male-only check of prostate cancer included, as the quality job does it.
     """
     good, _ = P.prepare_documents(derived.derived_xml(spark, sf_dir), CFG)
-    latest = stage_table(K.retain_latest_version(good), "latest")
+    latest = K.retain_latest_version(good, row="row_id")
     conditions = R.map_conditions(latest, CFG)
     patients = R.map_patients(latest, CFG).select(F.col("id").alias("patient"), "gender")
     joined = conditions.join(
