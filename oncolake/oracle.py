@@ -1215,3 +1215,15 @@ ORACLE["views_by_path"] = " UNION ALL ".join(
     for view, jobs in _VIEW_JOBS.items()
 )
 ORACLE["consolidated_in_steps"] = ORACLE["consolidated_reports"]
+_KEY = "secret key"
+_HIDDEN_PATIENT = hmac(sid("patient-id", "patient_id"), _KEY)
+ORACLE["deidentified_bundles"] = (
+    f"SELECT {hmac('patient_id', _KEY)} AS patient_id, {hmac('tumor_id', _KEY)} AS tumor_id, entries, "
+    f"'Patient/' || {_HIDDEN_PATIENT} || ' - Condition/' || "
+    + hmac(sid("primaerdiagnose-condition-id", "patient_id || '-' || tumor_id"), _KEY)
+    + f" AS bundle_key, {_HIDDEN_PATIENT} AS bundle_id, 1 AS same_id, 0 AS leaks "
+    f"FROM ({ORACLE['bundles_pipeline']})"
+)
+ORACLE["bundle_files"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS bundle_id, count(DISTINCT o_orderpriority) AS files, count(*) AS entries,
+  CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders GROUP BY 1"""

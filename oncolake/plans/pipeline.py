@@ -14,10 +14,12 @@ from oncolake.functions.clinical import application_code, gleason_score
 from oncolake.functions.ids import resource_id, slugify
 from oncolake.operators.bundles import add_provenance, build_bundles, upsert_entries
 from oncolake.operators.consolidate import bundle_key, current_reports
+from oncolake.operators.deidentify import keyed_hash
+from oncolake.operators.deidentify_rules import Deidentifier
 from oncolake.operators.reports import entries_bundle_id, prepare_reports, with_rank_key
 from oncolake.operators.staging import stage_table
 from oncolake.resources.outcomes import PROGRESS_LISTS
-from oncolake.resources.envelope import to_envelope
+from oncolake.resources.envelope import BodyChange, to_envelope
 from oncolake.sources.reports import parse_reports, split_quarantine
 
 # Sections whose reports a job reads; with staged reports only those partitions are scanned.
@@ -121,11 +123,16 @@ def map_all(
     return {kind: makers[kind]() for kind in wanted}
 
 
-def to_envelopes(tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) -> DataFrame:
-    """One uniform table of all resources; the patient comes first in its bundle."""
+def to_envelopes(
+    tables: dict[str, DataFrame], cfg: MappingConfig = DEFAULT, change: BodyChange | None = None
+) -> DataFrame:
+    """One uniform table of all resources; the patient comes first in its bundle.
+
+    ``change`` may alter resources before they are written, as de-identification does.
+    """
     parts = []
     for kind, table in tables.items():
-        rows = to_envelope(table, kind, cfg)
+        rows = to_envelope(table, kind, cfg, change)
         if kind == "Patient":
             rows = rows.withColumn("rank_key", F.lit(None).cast(rows.schema["rank_key"].dataType))
         parts.append(rows)
@@ -285,13 +292,18 @@ def bundle_entries(
     keys: tuple[str, ...] = ("patient_id",),
     drug_map: DataFrame | None = None,
     classification_map: DataFrame | None = None,
+    change: BodyChange | None = None,
 ) -> DataFrame:
-    """Upserted envelope rows of staged reports, one per bundle and resource."""
+    """Upserted envelope rows of staged reports, one per bundle and resource.
+
+    ``change`` alters the resources, not the columns beside them.
+    """
     tables = map_all(reports, cfg, drug_map, classification_map, keys)
-    envelopes = to_envelopes(tables, cfg)
+    envelopes = to_envelopes(tables, cfg, change)
     if cfg.create_provenance:
         envelopes = stage_table(envelopes, "envelopes")
-        envelopes = envelopes.unionByName(to_envelope(add_provenance(envelopes, cfg), "Provenance", cfg))
+        provenance = to_envelope(add_provenance(envelopes, cfg), "Provenance", cfg, change)
+        envelopes = envelopes.unionByName(provenance)
     return upsert_entries(envelopes, [*keys, "full_url"])
 
 
@@ -303,31 +315,47 @@ def reports_to_bundles(
     drug_map: DataFrame | None = None,
     classification_map: DataFrame | None = None,
     max_entries: int | None = None,
+    hide: Deidentifier | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Report exports to (bundles, quarantine), consolidated per patient and tumour.
 
     ``raw`` has ``export_id, version, xml`` (or a decoded ``document``). Bundle id and key hold the id
     under which the patient is written. ``max_entries`` cuts bundles into parts with ids and keys of
-    their own; without it each is whole.
+    their own; without it each is whole. With ``hide`` no identifier of the source leaves: resources,
+    bundles and keys follow its rules, and of the quarantine only hashed ids and errors are returned.
     """
     good, bad = prepare_documents(raw, cfg, lookup)
     keys = ("patient_id", "tumor_id") if by_tumor else ("patient_id",)
     reports = consolidated(good.filter(F.col("report").isNotNull()), cfg)
+    change = hide.change if hide else None
     entries = stage_table(
-        bundle_entries(reports, cfg, keys, drug_map, classification_map), "entries"
+        bundle_entries(reports, cfg, keys, drug_map, classification_map, change), "entries"
     )
-    bundles = build_bundles(entries, keys, entries_bundle_id(cfg), max_entries)
+    bundle_id = entries_bundle_id(cfg)
     condition = F.lit(None).cast("string")
     if by_tumor:
         value = slugify(F.concat_ws("-", "patient_id", "tumor_id"))
         system = cfg.identifier_system("primaerdiagnose-condition-id")
         condition = F.when(F.col("tumor_id").isNotNull(), resource_id(system, value))
+    shown = entries
+    if hide:
+        bundle_id, condition = hide.text("Bundle.id", bundle_id), hide.text("Resource.id", condition)
+        shown = entries.withColumns({
+            "full_url": hide.text("Bundle.entry.fullUrl", F.col("full_url")),
+            "request_url": hide.text("Bundle.entry.request.url", F.col("full_url")),
+        })
+    bundles = build_bundles(shown, keys, bundle_id, max_entries)
     # The patient's id is that of part 0; further parts add their number to the key.
-    whole = entries.groupBy("patient_id").agg(entries_bundle_id(cfg).alias("__patient"))
+    whole = entries.groupBy("patient_id").agg(bundle_id.alias("__patient"))
     keyed = bundles.join(whole, "patient_id") if max_entries else bundles.withColumn("__patient", F.col("bundle_id"))
     key = bundle_key(F.col("__patient"), condition)
     key = F.when(F.col("part") == 0, key).otherwise(F.concat_ws(" - Part/", key, "part"))
-    return keyed.withColumn("bundle_key", key).drop("__patient"), bad
+    bundles = keyed.withColumn("bundle_key", key).drop("__patient")
+    if hide:
+        bundles = bundles.withColumns({name: keyed_hash(F.col(name), hide.key) for name in keys})
+        ids = [keyed_hash(F.col(c), hide.key).alias(c) for c in ("patient_id", "report_id")]
+        bad = bad.select(*ids, F.regexp_replace("error", "'[^']*'", "'...'").alias("error"))
+    return bundles, bad
 
 
 def documents_to_bundles(

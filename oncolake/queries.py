@@ -18,6 +18,7 @@ from oncolake.functions import clinical, codes, dates, ids
 from oncolake.operators import bundles as B
 from oncolake.operators import consolidate as K
 from oncolake.operators import deidentify as D
+from oncolake.operators import deidentify_rules as DR
 from oncolake.operators import patient_reference as PR
 from oncolake.operators import reports as RP
 from oncolake.operators.staging import checkpoint_dir, stage_table
@@ -28,7 +29,7 @@ from oncolake.quality import paths as X
 from oncolake.quality import suites as Q
 from oncolake.quality import views as V
 from oncolake.resources.envelope import to_envelope
-from oncolake.sources import code_maps, patient_status, resources
+from oncolake.sources import code_maps, grouped_files, patient_status, resources
 from oncolake.sources import reports as SR
 from oncolake.streaming import report_set, vital_status
 
@@ -1138,6 +1139,48 @@ def bundles_pipeline(spark, sf):
     return bundles.select("patient_id", "tumor_id", "part", "entries", "bundle_key")
 
 
+@query
+def bundle_files(spark, sf):
+    """Orders as a bundle file per priority and customer, written to a folder and read back from it."""
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit("orders/"), "o_orderpriority", F.lit(".xml")).alias("source"),
+        F.col("o_custkey").cast("string").alias("bundle"), F.col("o_orderkey").alias("entry_pos"),
+        F.concat(F.lit("Order/"), "o_orderkey").alias("full_url"),
+        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), "o_clerk")).alias("resource_json"),
+    )
+    folder = _work_folder(spark, "files")
+    grouped_files.write_bundle_files(orders, folder, F.col("bundle"), F.col("source"))
+    back = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(
+        F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).alias("path"), "value"
+    )
+    entry = resources.bundle_resources(back.select("path", "value"))
+    sizes = entry.groupBy("bundle_id").agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.sum(F.get_json_object("resource_json", "$.id").cast("long")).alias("ids"),
+    )
+    files = back.groupBy(F.get_json_object("value", "$.id").alias("bundle_id")).agg(F.count(F.lit(1)).alias("files"))
+    return files.join(sizes, "bundle_id").select("bundle_id", "files", "entries", "ids")
+
+
+HIDDEN = DR.Deidentifier("secret key", DR.STRICT)
+
+
+@query
+def deidentified_bundles(spark, sf):
+    """XML texts of all sections to bundles without identifiers of the source."""
+    bundles, _ = P.reports_to_bundles(
+        derived.derived_xml(spark, sf), CFG, drug_map=drug_map(spark, sf),
+        classification_map=classification_map(spark, sf), hide=HIDDEN,
+    )
+    body = F.col("bundle_json")
+    return bundles.select(
+        "patient_id", "tumor_id", "entries", "bundle_key", "bundle_id",
+        (F.get_json_object(body, "$.id") == F.col("bundle_id")).cast("int").alias("same_id"),
+        # Texts of the source: report ids, reports' texts, patients' addresses.
+        F.regexp_like(body, F.lit(r"conclusion|\"address\"|_[0-7]/|Customer#")).cast("int").alias("leaks"),
+    )
+
+
 # ---- quality -----------------------------------------------------------------------------------
 
 

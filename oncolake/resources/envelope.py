@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oncolake import config as C
 from oncolake.config import DEFAULT, MappingConfig
 from oncolake.functions.codes import data_absent, reference
 from oncolake.schemas import CODINGS, ENVELOPE_COLUMNS
 
+BodyChange = Callable[[str, Column, StructType], Column]
+
 
 def _object(**fields: Column | None) -> Column:
     """A JSON object; null members vanish when it is written. ``x_`` writes the sibling ``_x``."""
@@ -94,6 +99,12 @@ def _partial(date: Column) -> Column:
     return date["value"]
 
 
+def _period(start: Column, end: Column) -> Column:
+    """A period with what there is of it, null without either date."""
+    start, end = _partial(start), _partial(end)
+    return F.when(start.isNotNull() | end.isNotNull(), _object(start=start, end=end))
+
+
 def _subject(cfg: MappingConfig) -> Column:
     kind = F.struct(
         F.array(
@@ -489,7 +500,7 @@ def _medication_statement(cfg: MappingConfig) -> dict[str, Column]:
         ),
         medicationCodeableConcept=F.when(medication.isNull(), absent_code),
         subject=_subject(cfg),
-        effectivePeriod=_object(start=_partial(F.col("period_start")), end=_partial(F.col("period_end"))),
+        effectivePeriod=_period(F.col("period_start"), F.col("period_end")),
         reasonReference=_single(_ref(reference("Condition", F.col("reason_condition_id")))),
     )
 
@@ -673,27 +684,43 @@ def _carries_decimal(kind: str) -> Column | None:
     return None
 
 
-def resource_json(kind: str, cfg: MappingConfig = DEFAULT) -> Column:
-    """JSON text of a resource of one type from the columns of its table.
+def resource_body(kind: str, cfg: MappingConfig = DEFAULT) -> Column:
+    """A resource of one type as a struct, from the columns of its table."""
+    return _object(**BODIES[kind](cfg))
 
-    Decimals lose the zeros their fixed scale adds.
-    """
-    body = F.to_json(_object(**BODIES[kind](cfg)))
+
+def body_json(kind: str, body: Column) -> Column:
+    """JSON text of a resource struct. Decimals lose the zeros their fixed scale adds."""
+    text = F.to_json(body)
     decimal = _carries_decimal(kind)
     if decimal is None:
-        return body
+        return text
     trimmed = F.regexp_replace(
-        body, r'("(?:value|valueDecimal)":-?\d+)(?:\.0+|(\.\d*?[1-9])0+)(?=[,}])', "$1$2"
+        text, r'("(?:value|valueDecimal)":-?\d+)(?:\.0+|(\.\d*?[1-9])0+)(?=[,}])', "$1$2"
     )
-    return F.when(decimal, trimmed).otherwise(body)
+    return F.when(decimal, trimmed).otherwise(text)
+
+
+def resource_json(kind: str, cfg: MappingConfig = DEFAULT) -> Column:
+    """JSON text of a resource of one type from the columns of its table."""
+    return body_json(kind, resource_body(kind, cfg))
+
 
+def to_envelope(
+    table: DataFrame, kind: str, cfg: MappingConfig = DEFAULT, change: BodyChange | None = None
+) -> DataFrame:
+    """Envelope rows of one resource table; ``kind`` is its resource type.
 
-def to_envelope(table: DataFrame, kind: str, cfg: MappingConfig = DEFAULT) -> DataFrame:
-    """Envelope rows of one resource table; ``kind`` is its resource type."""
+    ``change`` gets the type, the resource as a struct column and its schema, and returns the struct to
+    write instead.
+    """
     subject = F.lit(None).cast("string") if kind in ("Medication", "Provenance", "Device", "Patient") else F.col("patient_ref")
+    body = resource_body(kind, cfg)
+    if change is not None:
+        body = change(kind, body, table.select(body.alias("body")).schema["body"].dataType)
     return table.select(
         "*",
         F.concat_ws("/", "resource_type", "id").alias("full_url"),
         subject.alias("subject_ref"),
-        resource_json(kind, cfg).alias("resource_json"),
+        body_json(kind, body).alias("resource_json"),
     ).select(*ENVELOPE_COLUMNS)
