@@ -1227,3 +1227,11 @@ ORACLE["deidentified_bundles"] = (
 ORACLE["bundle_files"] = """
 SELECT CAST(o_custkey AS VARCHAR) AS bundle_id, count(DISTINCT o_orderpriority) AS files, count(*) AS entries,
   CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders GROUP BY 1"""
+ORACLE["row_counts"] = """
+SELECT 'Line' AS resource_type, 'read' AS stage, count(*) AS rows FROM lineitem
+UNION ALL SELECT 'Line', 'extracted', count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
+UNION ALL SELECT 'Order', 'read', count(*) FROM orders
+UNION ALL SELECT 'Order', 'extracted', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)"""
+# Over all sections these are compared with a plain version of the suites in the tests.
+for _suite in ("conditions", "procedures", "condition_procedure", "observations", "metastases", "performance_death"):
+    del ORACLE[f"suite_{_suite}"]

@@ -205,6 +205,13 @@ NEEDS = {
 }
 
 
+def patient_observations(base: dict[str, DataFrame]) -> DataFrame:
+    """Observations with their patients, full outer; ``base`` may hold the join already."""
+    if "patient_observations" in base:
+        return base["patient_observations"]
+    return with_patients(base["observations"], base["patients"], "subject_reference")
+
+
 def joined_view(name: str, base: dict[str, DataFrame], cfg: MappingConfig = DEFAULT) -> DataFrame:
     """The view a suite checks, from the base views it needs."""
 
@@ -212,7 +219,7 @@ def joined_view(name: str, base: dict[str, DataFrame], cfg: MappingConfig = DEFA
         return with_patients(rows, base["patients"], reference, "inner")
 
     def observed() -> DataFrame:
-        return with_patients(base["observations"], base["patients"], "subject_reference")
+        return patient_observations(base)
 
     def deaths() -> DataFrame:
         return base["observations"].filter(F.col("meta_profile").startswith(cfg.profile("tod")))

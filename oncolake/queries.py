@@ -1146,14 +1146,12 @@ def bundle_files(spark, sf):
         F.concat(F.lit("orders/"), "o_orderpriority", F.lit(".xml")).alias("source"),
         F.col("o_custkey").cast("string").alias("bundle"), F.col("o_orderkey").alias("entry_pos"),
         F.concat(F.lit("Order/"), "o_orderkey").alias("full_url"),
-        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), "o_clerk")).alias("resource_json"),
+        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus")).alias("resource_json"),
     )
     folder = _work_folder(spark, "files")
     grouped_files.write_bundle_files(orders, folder, F.col("bundle"), F.col("source"))
-    back = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(
-        F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).alias("path"), "value"
-    )
-    entry = resources.bundle_resources(back.select("path", "value"))
+    back = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    entry = resources.bundle_resources(back)
     sizes = entry.groupBy("bundle_id").agg(
         F.count(F.lit(1)).alias("entries"),
         F.sum(F.get_json_object("resource_json", "$.id").cast("long")).alias("ids"),
@@ -1315,30 +1313,51 @@ QUERIES["failing_regex"] = _failing(6)
 QUERIES["failing_unique"] = _failing(7)
 
 
-def _suite_query(suite, *kinds, jobs=None):
+def _tables(spark, sf, *types, jobs=None):
+    """Typed tables of the resources that all sections of all reports give rise to."""
+    rows = stage_table(reports(spark, sf), "reports", ["sections"])
+    return P.map_all(rows, CFG, drug_map(spark, sf), classification_map(spark, sf), types=types, observation_jobs=jobs)
+
+
+_RESULT = ["suite", "expectation", "evaluated", "unexpected"]
+
+
+def _suite_query(suite, jobs=None):
+    """One suite. ``jobs`` are all that yield rows its view does not filter out by their profile."""
+
     def run(spark, sf):
-        rows = stage_table(reports(spark, sf, *kinds), "reports", ["sections"])
-        types = tuple(V.BASE_TABLES[name] for name in V.NEEDS[suite])
-        base = V.views_from_tables(P.map_all(rows, CFG, types=types, observation_jobs=jobs), CFG)
-        result = Q.run_suites({suite: V.joined_view(suite, base, CFG)}, AS_OF, CFG)
-        return result.select("suite", "expectation", "evaluated", "unexpected")
+        types = [V.BASE_TABLES[name] for name in V.NEEDS[suite]]
+        return Q.quality_run(_tables(spark, sf, *types, jobs=jobs), AS_OF, CFG, [suite]).select(*_RESULT)
 
     return run
 
 
-QUERIES["suite_conditions"] = _suite_query("conditions", "SYST", "Tod")
-QUERIES["suite_procedures"] = _suite_query("procedures", "OP", "Tod")
-QUERIES["suite_medication_statements"] = _suite_query("medication_statements", "SYST")
-QUERIES["suite_condition_procedure"] = _suite_query("condition_procedure", "OP")
-QUERIES["suite_observations"] = _suite_query(
-    "observations", "Tod", "SYST", jobs=("study_participation", "deaths")
-)
-QUERIES["suite_metastases"] = _suite_query("metastases", "Pathologie", jobs=("metastases",))
-QUERIES["suite_performance_death"] = _suite_query(
-    "performance_death", "Verlauf", "Tod", jobs=("performance_status", "deaths")
-)
-QUERIES["suite_death_completeness"] = _suite_query("death_completeness", "Tod", jobs=("deaths",))
-QUERIES["suite_death_dates"] = _suite_query("death_dates", "Tod", jobs=("deaths",))
+QUERIES["suite_conditions"] = _suite_query("conditions")
+QUERIES["suite_procedures"] = _suite_query("procedures")
+QUERIES["suite_medication_statements"] = _suite_query("medication_statements")
+QUERIES["suite_condition_procedure"] = _suite_query("condition_procedure")
+QUERIES["suite_observations"] = _suite_query("observations")
+QUERIES["suite_metastases"] = _suite_query("metastases", ("metastases",))
+QUERIES["suite_performance_death"] = _suite_query("performance_death", ("performance_status", "deaths"))
+QUERIES["suite_death_completeness"] = _suite_query("death_completeness", ("deaths",))
+QUERIES["suite_death_dates"] = _suite_query("death_dates", ("deaths",))
+
+
+@query
+def quality_run(spark, sf):
+    """All nine suites over the resources of all sections, each base view and the shared join staged once."""
+    return Q.quality_run(_tables(spark, sf, *V.BASE_TABLES.values()), AS_OF, CFG).select(*_RESULT)
+
+
+@query
+def row_counts(spark, sf):
+    """Rows read and rows extracted: lines by order and supplier, orders by customer and status."""
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    views = {
+        "lines": V.extract_view(lines, {c: F.col(c) for c in ("l_orderkey", "l_suppkey")}),
+        "orders": V.extract_view(orders, {c: F.col(c) for c in ("o_custkey", "o_orderstatus")}),
+    }
+    return V.row_counts({"Line": lines, "Order": orders}, views, {"Line": "lines", "Order": "orders"})
 
 
 @query

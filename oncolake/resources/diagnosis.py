@@ -11,6 +11,7 @@ from oncolake.functions.clinical import ecog_bucket
 from oncolake.functions.codes import loinc, lookup, make_coding, many, one, onco, snomed
 from oncolake.functions.dates import partial_date, report_partial_date
 from oncolake.functions.ids import nonblank
+from oncolake.operators.consolidate import pick_by_key
 from oncolake.resources.base import (
     concept,
     effective_or_absent,
@@ -150,8 +151,9 @@ def map_classifications(
 ) -> DataFrame:
     """Other classifications, coded through a map of (name, stage) where it has them.
 
-    The map has one row per key and joins from the right, so a hot classification only makes the
-    splittable left side large.
+    Of several map rows for one name and stage the least by its columns is taken, so a classification
+    stays one row. The map joins from the right, so a hot classification only makes the splittable left
+    side large.
     """
     sources = ("Diagnose", "Verlauf", "Pathologie")
     rows = elements_of(
@@ -165,8 +167,9 @@ def map_classifications(
     if code_map is None:
         rows = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in mapped])
     else:
+        one_each = pick_by_key(code_map.select("name", "stadium", *mapped), ["name", "stadium"], mapped, last=False)
         rows = rows.join(
-            code_map.select("name", "stadium", *mapped),
+            one_each,
             (F.col("__name") == F.col("name")) & (F.col("__stage") == F.col("stadium")),
             "left",
         )
