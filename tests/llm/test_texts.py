@@ -306,3 +306,26 @@ def test_pii_looks_at_what_a_base_span_leaves_free(spark):
     model = pii.fit_pii(documents)
     found = {r.doc_id: r.text for r in pii.redact(pii.find_pii(documents, model)).collect()}
     assert found == {1: "from [IP] [NUMBER] on", 2: "[PHONE] x [NUMBER]"}
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Nulls, empty and repeated rows, and extra columns with names that operators use themselves."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = spark.createDataFrame(
+        [(None, "null id a@b.de", "de", "s", 14), (900001, None, None, None, None), (900002, "", "de", "s", 0), (900002, "", "de", "s", 0)],
+        docs.schema,
+    )
+    extra = ["pii_email", "PII_free", "row", "score", "component_id", "n_tokens", "key", "x", "held_out", "features"]
+    table = docs.unionByName(odd).select("*", *[F.lit(f"own {c}").alias(c) for c in extra])
+    table = table.repartition(3).cache()
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, table, sf)
+        assert out.columns == table.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in extra), name
+        assert stage(spark, table.filter("false"), sf).count() == 0, name
+    masked = {r.doc_id: r.text for r in corpus_pipeline.pii_stage(spark, table, sf).collect()}
+    assert "a@b.de" not in masked[None] and masked[900001] is None and masked[900002] == ""
