@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,11 +25,12 @@ LEAST_LANDMARKS = 20
 #: What a split of a subtree into kept and dropped children costs, in units of log odds.
 SPLIT_COST = 1.5
 
+#: What may be markup: a comment, a tag without ``<`` or ``>`` in its attributes, or the start of another.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>"
-    r"|<[!?/][^>]*>|</?[a-zA-Z][^>]*>",
-    re.S,
+    r"<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>\"']*+(?:(?:\"[^\"<>]*+\"|'[^'<>]*+')[^<>\"']*+)*+)>|<[!?/a-zA-Z]"
 )
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_QUOTE_OR_END = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _INLINE = frozenset(
@@ -85,40 +87,126 @@ class Tree:
     flow: list[tuple[int, str | None, bool]] = field(default_factory=list)
 
 
+class Markup:
+    """Comments and tags of a page, in time that grows with its length, however badly it is formed.
+
+    A tag ends at the first ``>`` outside of quotes, or, where its quotes never close, at the first
+    ``>``, and is then no element. A tag without any ``>`` behind it is text. A comment that does
+    not end goes on to the end of the page.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last_end = source.rfind(">")
+        self._marks: list[int] | None = None
+        self._tag_ends: list[int] = []
+
+    def next(self, position: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, is an end tag, name, attributes) of the first token from a position on."""
+        match = _TOKEN.search(self.source, position)
+        if match is None:
+            return None
+        start = match.start()
+        if match[2] is not None:
+            return start, match.end(), bool(match[1]), match[2].lower(), match[3]
+        if match[0] != "<!--" and start > self.last_end:
+            start = self.source.find("<!--", start)  # without a ">" only a comment can follow
+            if start < 0:
+                return None
+        if self.source.startswith("<!--", start):
+            end = self.source.find("-->", start + 4)
+            return start, end + 3 if end >= 0 else len(self.source), False, None, ""
+        tag = _TAG.match(self.source, start)
+        end = self._tag_end(tag.end()) if tag else -1
+        if end < 0:
+            return start, self.source.index(">", start) + 1, False, None, ""
+        return start, end + 1, bool(tag[1]), tag[2].lower(), self.source[tag.end() : end]
+
+    def _tag_end(self, position: int) -> int:
+        """The first ``>`` outside of quotes from a position outside of quotes, or -1.
+
+        Read once from the end of the page: where a tag ends, seen from each quote or ``>``, if that
+        is outside of quotes, in double or in single ones.
+        """
+        if self._marks is None:
+            self._marks = [m.start() for m in _QUOTE_OR_END.finditer(self.source)]
+            self._tag_ends = [-1] * len(self._marks)
+            plain = double = single = -1
+            for i in range(len(self._marks) - 1, -1, -1):
+                sign = self.source[self._marks[i]]
+                if sign == ">":
+                    plain = self._marks[i]
+                elif sign == '"':
+                    plain, double = double, plain
+                else:
+                    plain, single = single, plain
+                self._tag_ends[i] = plain
+        at = bisect_left(self._marks, position)
+        return self._tag_ends[at] if at < len(self._marks) else -1
+
+
+class _Open:
+    """Open elements of a page and where each name was opened last, so that no tag walks over them."""
+
+    def __init__(self):
+        self.names, self.holders = ["#"], [0]  # each element and the block that holds its text
+        self.where: dict[str, list[int]] = {}
+        self.blocks, self.containers, self.silent = [0], [0], 0
+
+    def push(self, name: str, holder: int) -> None:
+        at = len(self.names)
+        self.names.append(name)
+        self.holders.append(holder)
+        self.where.setdefault(name, []).append(at)
+        if name not in _INLINE:
+            self.blocks.append(at)
+        if name in _CONTAINERS:
+            self.containers.append(at)
+        self.silent += name in _SILENT
+
+    def end(self, depth: int) -> None:
+        """Close the elements from a depth on."""
+        while len(self.names) > depth:
+            name = self.names.pop()
+            self.holders.pop()
+            self.where[name].pop()
+            if name not in _INLINE:
+                self.blocks.pop()
+            if name in _CONTAINERS:
+                self.containers.pop()
+            self.silent -= name in _SILENT
+
+    def last(self, name: str) -> int:
+        """The depth at which a name was opened last; 0 if it is not open."""
+        where = self.where.get(name)
+        return where[-1] if where else 0
+
+
 def parse(source: str) -> Tree:
     """The block tree of a page, however badly it is formed. Silent elements leave nothing."""
-    tree = Tree()
-    stack: list[tuple[str, int]] = [("#", 0)]  # open elements and the block that holds their text
-    at, links, silent = 0, 0, 0
-    position = 0
+    tree, markup, stack = Tree(), Markup(source), _Open()
+    at, links, position = 0, 0, 0
     while True:
-        match = _TOKEN.search(source, position)
-        end = match.start() if match else len(source)
-        if end > position and not silent:
+        token = markup.next(position)
+        end = token[0] if token else len(source)
+        if end > position and not stack.silent:
             tree.flow.append((at, html.unescape(source[position:end]), links > 0))
-        if not match:
+        if not token:
             return tree
-        position = match.end()
-        if match[2] is None:
+        _, position, closes, name, attributes = token
+        if name is None:
             continue
-        name = match[2].lower()
-        if match[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if name in _INLINE and depth and any(t not in _INLINE for t, _ in stack[depth + 1 :]):
-                depth = 0  # an inline end tag does not end blocks
-            if depth:
-                del stack[depth:]
+        if closes:
+            depth = stack.last(name)
+            if depth and not (name in _INLINE and stack.blocks[-1] > depth):
+                stack.end(depth)  # but an inline end tag does not end blocks
         else:
-            ends = _ENDS.get(name, ())
-            if name not in _INLINE and name not in _VOID:
-                _end_paragraph(stack)
-            if ends:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in ends:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in _CONTAINERS:
-                        break
+            if name not in _INLINE and name not in _VOID and stack.names[stack.blocks[-1]] == "p":
+                stack.end(stack.blocks[-1])
+            if name in _ENDS:
+                depth = max(map(stack.last, _ENDS[name]))
+                if depth > stack.containers[-1]:
+                    stack.end(depth)
             if name in _VOID:
                 if name in ("br", "hr"):
                     tree.flow.append((at, " ", False))
@@ -128,27 +216,17 @@ def parse(source: str) -> Tree:
                 position = close.end() if close else len(source)
                 continue
             if name in _INLINE or name in _SILENT:
-                stack.append((name, stack[-1][1]))
+                stack.push(name, stack.holders[-1])
             else:
-                words = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(match[3])) if match[3] else ""
+                words = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(attributes)) if attributes else ""
                 tree.tag.append(name)
-                tree.parent.append(stack[-1][1])
+                tree.parent.append(stack.holders[-1])
                 tree.tokens.append(frozenset(_WORD.findall(words.lower())))
-                stack.append((name, len(tree.tag) - 1))
-        if stack[-1][1] != at or (name not in _INLINE and name not in _SILENT):
-            tree.flow.append((stack[-1][1], None, False))
-        at = stack[-1][1]
-        links = sum(t == "a" for t, _ in stack) if name == "a" or match[1] else links
-        silent = any(t in _SILENT for t, _ in stack) if len(stack) > 1 else 0
-
-
-def _end_paragraph(stack: list[tuple[str, int]]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i][0] == "p":
-            del stack[i:]
-            return
-        if stack[i][0] not in _INLINE:
-            return
+                stack.push(name, len(tree.tag) - 1)
+        if stack.holders[-1] != at or (name not in _INLINE and name not in _SILENT):
+            tree.flow.append((stack.holders[-1], None, False))
+        at = stack.holders[-1]
+        links = len(stack.where.get("a", ())) if name == "a" or closes else links
 
 
 def node_features(tree: Tree) -> tuple[np.ndarray, np.ndarray]:
@@ -186,36 +264,47 @@ def node_features(tree: Tree) -> tuple[np.ndarray, np.ndarray]:
         if 0 <= first[node] and (first[up] < 0 or first[node] < first[up]):
             first[up] = first[node]
         alike[up, tree.tag[node]] = alike.get((up, tree.tag[node]), 0) + 1
-    out = np.zeros((count, len(FEATURES)))
-    kinds, tokens = len(_KINDS), len(_TOKENS)
-    above, inside, depth = np.zeros((count, tokens)), np.zeros((count, 5)), np.zeros(count)
+    # Sets of kinds, attribute words and zones are bits; those above a node come from its parent.
+    kind, words, above, inside, depth = ([0] * count for _ in range(5))
     zones = (_KINDS[0], _KINDS[5], _KINDS[7], _KINDS[8], _KINDS[9])
+    known: dict[str, tuple[int, int]] = {}
     for node in range(count):
         tag, mine, up = tree.tag[node], tree.tokens[node], parent[node]
-        for i, kind in enumerate(_KINDS):
-            out[node, i] = tag in kind
+        if tag not in known:
+            known[tag] = _bits(tag in k for k in _KINDS), _bits(tag in z for z in zones)
+        kind[node] = known[tag][0]
         if mine:
-            for i, names in enumerate(_TOKENS):
-                out[node, kinds + i] = not mine.isdisjoint(names)
+            words[node] = _bits(not mine.isdisjoint(names) for names in _TOKENS)
         if up >= 0:
             depth[node] = depth[up] + 1
-            above[node] = np.maximum(above[up], out[up, kinds : kinds + tokens])
-            inside[node] = inside[up]
-            for i, zone in enumerate(zones):
-                if tree.tag[up] in zone:
-                    inside[node, i] = 1
-        siblings = children[up] if up >= 0 else 1
-        same = alike.get((up, tag), 1)
-        size = max(total[node], 1)
-        out[node, kinds + tokens :] = (
-            *above[node], depth[node], np.log1p(total[node]), np.log1p(own[node]), total[node] / max(seen, 1),
-            links[node] / size, 100 * comma[node] / size, 100 * stop[node] / size, paragraphs[node],
-            max(first[node], 0) / max(seen, 1), siblings, same / max(siblings, 1),
-            np.log1p(total[node] / (children[node] + 1)), *inside[node], heads[node], np.log1p(max(first[node], 0)),
-        )
+            above[node] = above[up] | words[up]
+            inside[node] = inside[up] | known[tree.tag[up]][1]
+    up = np.maximum(np.array(parent), 0)
+    same = np.array([alike.get((parent[node], tree.tag[node]), 1) for node in range(count)], float)
+    siblings, size = children[up], np.maximum(total, 1)
+    siblings[0] = 1
+    place, everything = np.maximum(first, 0), max(seen, 1)
+    out = np.column_stack(
+        [
+            _columns(kind, len(_KINDS)), _columns(words, len(_TOKENS)), _columns(above, len(_TOKENS)),
+            np.array(depth, float), np.log1p(total), np.log1p(own), total / everything, links / size,
+            100 * comma / size, 100 * stop / size, paragraphs, place / everything, siblings,
+            same / np.maximum(siblings, 1), np.log1p(total / (children + 1)), _columns(inside, len(zones)),
+            heads, np.log1p(place),
+        ]
+    )
     return out, own
 
 
+def _bits(flags: Iterable[bool]) -> int:
+    return sum(1 << i for i, flag in enumerate(flags) if flag)
+
+
+def _columns(bits: list[int], count: int) -> np.ndarray:
+    """A column of 0 and 1 per bit."""
+    return (np.array(bits)[:, None] >> np.arange(count) & 1).astype(float)
+
+
 def decode(tree: Tree, own: np.ndarray, chance: np.ndarray, cost: float = SPLIT_COST) -> np.ndarray:
     """Which nodes' own texts are kept.
 
@@ -391,8 +480,11 @@ def _layouts(tree: Tree, label: np.ndarray, seed: int, count: int) -> list[str]:
 
 def _marked(source: str, tree: Tree) -> np.ndarray:
     """Labels of a training page: nodes with the mark and what is below them."""
-    marked = [False] + [m[3] is not None and "data-main" in m[3] for m in _TOKEN.finditer(source)
-                        if m[2] and not m[1] and m[2].lower() not in _INLINE | _VOID | _SILENT]
+    marked, markup, position = [False], Markup(source), 0
+    while token := markup.next(position):
+        _, position, closes, name, attributes = token
+        if name is not None and not closes and name not in _INLINE | _VOID | _SILENT:
+            marked.append("data-main" in attributes)
     label = np.array(marked, float)
     for node in range(1, len(label)):
         label[node] = max(label[node], label[tree.parent[node]])
@@ -463,7 +555,8 @@ def _measured(
     """Features, labels and whether a row is its page's first, of a sample of the pages ``wanted``."""
     rows = pages.select("page_id", "html").filter("page_id is not null").filter(wanted)
     ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    rows = rows.join(F.broadcast(ids), "page_id")
+    # One row per id, so that a repeated page neither outweighs the others nor goes to the driver whole.
+    rows = rows.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -117,14 +117,15 @@ def fit_quality(
     """Fit trees on the statistics of at most ``sample_rows`` labelled documents.
 
     Only the text and the label of rows that are not held out are used. The sample has the ids with
-    the smallest hashes, so it is the same in every run; its size bounds the broadcast and what the
-    driver receives. Labels of null ids, null labels and labels without a document are left out.
+    the smallest hashes, so it is the same in every run, and one text of each, the smallest; its
+    size bounds the broadcast and what the driver receives. Labels of null ids, null labels and labels without a document are left out.
     """
     label = labels.select("doc_id", F.col("quality").alias("label"))
     label = label.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     label = label.groupBy("doc_id").agg(F.min("label").alias("label"))
     label = label.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = documents.select("doc_id", "text").join(F.broadcast(label), "doc_id").select("text", "label")
+    rows = documents.select("doc_id", "text").join(F.broadcast(label), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,13 +5,14 @@ import random
 import re
 import subprocess
 import sys
+import time
 
 import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from oncolake.llm import chat, pages, topk
+from oncolake.llm import boosting, chat, pages, quality, topk
 from oncolake.llm.graph import components
 from oncolake.llm.queries import ORACLE, QUERIES
 
@@ -157,3 +158,49 @@ print("rows", __spark_entry__.queries()["op2_decontaminate"](spark, {SF!r}).coun
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 200" in done.stdout, done.stderr[-2000:]
+
+
+def test_pages_of_odd_markup_take_time_by_length():
+    """Unclosed tags, quotes and names, deep nests and stray end tags: a second or two each, not hours."""
+    odd = [
+        "<a " * 350_000, "<div>" * 200_000 + "x" + "</b>" * 200_000, '"<a ">' * 200_000, "<" + "a" * 1_000_000,
+        "<foo>" * 100_000 + "<tfoot>" * 100_000, "<b>" + "<div></b>" * 100_000,
+    ]
+    for source in odd:
+        begin = time.perf_counter()
+        tree = pages.parse(source)
+        table, own = pages.node_features(tree)
+        pages.decode(tree, own, table[:, 0])
+        assert time.perf_counter() - begin < 20
+
+
+def test_pages_tokens():
+    def tokens(source):
+        markup, position = pages.Markup(source), 0
+        while token := markup.next(position):
+            yield source[token[0] : token[1]], token[3]
+            position = token[1]
+
+    assert list(tokens("a <b x='>'>t</b ><!-- <i> --><br/>")) == [
+        ("<b x='>'>", "b"), ("</b >", "b"), ("<!-- <i> -->", None), ("<br/>", "br")]
+    assert list(tokens("<a href=\"x>y <p>z")) == [('<a href="x>', None), ("<p>", "p")]  # the quote never closes
+    assert list(tokens("<p <a <!-- <b")) == [("<!-- <b", None)]
+    assert list(tokens("1 < 2 <?x> </> <i")) == [("<?x>", None), ("</>", None)]
+    assert list(tokens("")) == []
+
+
+def test_samples_hold_one_row_of_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(boosting, "fit", lambda table, target, **_: seen.append((len(table), target.tolist())))
+    texts = [(1, f"Some words of text {i}.") for i in range(300)] + [(2, "Other words."), (3, None), (None, "x")]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (None, 1)], "doc_id long, quality int")
+    learnt = {r.doc_id for r in labels.filter(~quality.held_out() & F.col("doc_id").isNotNull()).collect()}
+    quality.fit_quality(documents, labels)
+    assert seen == [(len(learnt), seen[0][1])] and sum(seen[0][1]) == (1 in learnt)
+    page = "<nav>menu</nav><article><p>words of the article</p></article>"
+    once = spark.createDataFrame([(1, page), (2, page)], "page_id long, html string")
+    again = once.unionByName(once.filter("page_id = 1").crossJoin(spark.range(50)).select("page_id", "html"))
+    pages.fit_pages(once)
+    pages.fit_pages(again)
+    assert seen[1] == seen[2]
