@@ -13,9 +13,11 @@ from oncolake.llm.shipping import ship_package, small_batches
 from oncolake.llm.textbytes import release_memory
 from oncolake.operators.staging import stage_table
 
-#: Vectors in a block of candidates and of queries, vectors in a norm band, and vectors the rotation
-#: is fitted on. None of them changes a result.
-BLOCK, QUERY_BLOCK, BAND, SAMPLE = 4096, 512, 16_384, 10_000
+#: Vectors in a block of candidates and of queries, vectors in a norm band, queries that meet a band in
+#: one group, and vectors the rotation is fitted on. None of them changes a result.
+BLOCK, QUERY_BLOCK, BAND, SLOT, SAMPLE = 4096, 512, 16_384, 8192, 10_000
+#: A round takes this many times the bands before it; lengths that a round fetches to the driver.
+GROWTH, LENGTHS = 4, 1024
 #: Rotated dimensions after which candidates are pruned.
 STEPS = (4, 8, 16, 32)
 
@@ -51,29 +53,32 @@ def _matrix(lists: pa.Array, width: int) -> np.ndarray:
 
 
 def _packed(rows: DataFrame, width: int, size: int) -> DataFrame:
-    """Rows of a partition as blocks of at most ``size`` vectors, in their order."""
+    """Rows of a partition as blocks of at most ``size`` vectors, in their order, with a length that none exceeds."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting_ids, waiting, band = [], [], None
+        waiting_ids, waiting, band, longest = [], [], None, 0.0
         for batch in batches:
             if not batch.num_rows:
                 continue
             band = batch.column(2)[0].as_py()
+            longest = max(longest, float(np.sqrt(batch.column(3).to_numpy().max())))
             waiting_ids.append(batch.column(0).to_numpy().astype(np.int64))
             waiting.append(_matrix(batch.column(1), width))
             while sum(map(len, waiting)) >= size:
                 ids, table = np.concatenate(waiting_ids), np.concatenate(waiting)
-                yield _block(band, ids[:size], table[:size])
+                yield _block(band, longest, ids[:size], table[:size])
                 waiting_ids, waiting = [ids[size:]], [table[size:]]
         if sum(map(len, waiting)):
-            yield _block(band, np.concatenate(waiting_ids), np.concatenate(waiting))
+            yield _block(band, longest, np.concatenate(waiting_ids), np.concatenate(waiting))
 
-    return rows.mapInArrow(pack, "band int, ids binary, vectors binary")
+    return rows.mapInArrow(pack, "band int, longest double, ids binary, vectors binary")
 
 
-def _block(band: int, ids: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([band], pa.int32()), pa.array([ids.tobytes()]), pa.array([table.tobytes()])]
-    return pa.RecordBatch.from_arrays(columns, names=["band", "ids", "vectors"])
+def _block(band: int, longest: float, ids: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+    columns = [
+        pa.array([band], pa.int32()), pa.array([longest]), pa.array([ids.tobytes()]), pa.array([table.tobytes()])
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["band", "longest", "ids", "vectors"])
 
 
 def top_of_block(
@@ -158,9 +163,10 @@ def top_inner_products(
     Queries are the rows where the SQL condition ``is_query`` holds; candidates all rows
     with another id. Vectors become whole numbers first (``whole_vectors``); a shorter vector counts
     as filled up with zeros. Rows of a repeated id are all candidates, and one of them is the query.
-    Candidates lie in bands of descending length. The band of the longest gives each query a floor;
-    the other bands are scored block by block against query blocks, pruned by that floor, and only
-    what reaches it is shuffled. An empty table gives no rows.
+    Candidates lie in bands of descending length. The band of the longest gives each query a floor.
+    Each further round takes more bands, leaves out those too short for the floors of a query block
+    before any vector moves, scores the others block by block and raises the floors. An empty
+    table gives no rows.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -175,58 +181,77 @@ def top_inner_products(
     bands = -(-count // BAND)
     order = [F.desc("norm2"), F.col("id")]
     placed = whole.repartitionByRange(bands, *order).sortWithinPartitions(*order)
-    blocks = _packed(placed.select("id", "v", F.spark_partition_id().alias("band")), width, BLOCK)
-    blocks = stage_table(blocks, "blocks")
-    asked = whole.filter("asked").groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.lit(0).alias("band"))
-    some = max(1, -(-asked.count() // QUERY_BLOCK))
-    queries = _packed(asked.repartition(some, "id"), width, QUERY_BLOCK).select(
-        F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
-    queries = stage_table(queries, "queries")
-    lowest = np.float64(-np.inf).tobytes()
-    open_floor = F.expr(f"unhex(repeat('{lowest.hex()}', cast(length(q_ids) / 8 as int)))")
-    head = queries.withColumn("floors", open_floor).withColumn("band", F.lit(0)).join(blocks, "band")
-    first = stage_table(_best(_score(head, rotation, k), k), "head")
-    floors = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    floored = _with_floors(queries, floors)
-    if bands > 1:
-        spread = floored.withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(bands - 1))))
-        rest = _score(spread.join(blocks.filter("band > 0"), "band"), rotation, k)
-        first = _best(first.select("query_id", "vec_id", "score").unionAll(rest), k)
-    return first.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-
-def _with_floors(queries: DataFrame, floors: DataFrame) -> DataFrame:
-    """Query blocks with the floor of each of their queries; without one it is below every score."""
-    kind = "array<struct<id:bigint,floor:bigint>>"
-    numbered = queries.withColumn("block", F.xxhash64("q_ids"))
-
-    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, raw in zip(batch.column(0), batch.column(1)):
-                own = np.frombuffer(raw.as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block.as_py()] * len(own), pa.int64()), pa.array(own)], names=["block", "query_id"]
-                )
-
-    owned = numbered.select("block", "q_ids").mapInArrow(ids, "block long, query_id long")
-    lists = owned.join(floors, "query_id").groupBy("block").agg(
-        F.collect_list(F.struct(F.col("query_id").alias("id"), "floor")).cast(kind).alias("known")
-    )
+    placed = placed.withColumn("band", F.spark_partition_id())
+    blocks = stage_table(_packed(placed.select("id", "v", "band", "norm2"), width, BLOCK), "blocks")
+    asked = whole.filter("asked").groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q"))
+    asked = stage_table(asked.select("id", "q.v", "q.norm2"), "queries")
+    slots = max(1, -(-asked.count() // SLOT))
+    best, begin, end = None, 0, 1
+    while begin < bands:
+        queries = stage_table(_query_blocks(_with_floors(asked, best, k), width, slots), "query-blocks")
+        found = _score(block_pairs(queries, blocks, begin, end), rotation, k)
+        if best is not None:
+            found = best.select("query_id", "vec_id", "score").unionAll(found)
+        best = stage_table(_best(found, k), "best")
+        begin, end = end, min(bands, end * GROWTH)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _with_floors(asked: DataFrame, best: DataFrame | None, k: int) -> DataFrame:
+    """Queries with the score of their ``k``-th best so far and the least length that may reach it."""
+    lowest = F.lit(float("-inf"))
+    if best is None:
+        return asked.select("id", "v", lowest.alias("floor"), lowest.alias("need"))
+    floors = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
+    need = F.when(F.col("floor") > 0, F.col("floor") * (1 - 1e-9) / F.sqrt("norm2")).otherwise(lowest)
+    rows = asked.join(floors, "id", "left")
+    return rows.select("id", "v", F.coalesce("floor", lowest).alias("floor"), need.alias("need"))
+
+
+def _query_blocks(queries: DataFrame, width: int, slots: int) -> DataFrame:
+    """Blocks of queries that need candidates of similar length, with the least length of each block."""
+    order = [F.desc("need"), F.col("id")]
+    placed = queries.repartitionByRange(slots, *order).sortWithinPartitions(*order)
+    placed = placed.withColumn("slot", F.spark_partition_id()).select("slot", "id", "v", "floor", "need")
+    size = QUERY_BLOCK
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                known = {x["id"]: x["floor"] for x in row["known"] or []}
-                own = np.frombuffer(row["q_ids"], np.int64).tolist()
-                floor = np.array([known.get(i, -np.inf) for i in own], np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[c]]) for c in ("q_ids", "q_vectors")] + [pa.array([floor.tobytes()])],
-                    names=["q_ids", "q_vectors", "floors"],
-                )
-
-    joined = numbered.join(lists, "block", "left").select("q_ids", "q_vectors", "known")
-    return joined.mapInArrow(fill, "q_ids binary, q_vectors binary, floors binary")
+            for begin in range(0, batch.num_rows, size):
+                part = batch.slice(begin, size)
+                ids, floors, need = (part.column(i).to_numpy() for i in (1, 3, 4))
+                columns = [
+                    part.column(0)[:1], pa.array([ids.astype(np.int64).tobytes()]),
+                    pa.array([_matrix(part.column(2), width).tobytes()]),
+                    pa.array([floors.astype(float).tobytes()]), pa.array([need.min()], pa.float64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["slot", "q_ids", "q_vectors", "floors", "need"])
+
+    return placed.mapInArrow(pack, "slot int, q_ids binary, q_vectors binary, floors binary, need double")
+
+
+def block_pairs(queries: DataFrame, blocks: DataFrame, begin: int, end: int) -> DataFrame:
+    """Query blocks with the candidate blocks of bands ``begin`` to ``end`` that are long enough for them.
+
+    Bands are of descending length, so a query block needs a run of bands from the first one on. How far
+    it goes is read from the longest vectors of at most ``LENGTHS`` runs of bands. Vectors move only
+    for (band, slot) pairs in that reach, each of which is a key of its own.
+    """
+    step = -(-(end - begin) // LENGTHS)
+    runs = blocks.filter(F.col("band").between(begin, end - 1)).groupBy(
+        F.floor((F.col("band") - begin) / step).cast("int").alias("run")
+    ).agg(F.max("longest").alias("longest"))
+    known = dict(runs.collect())
+    longest, reach = 0.0, []
+    for run in range(-(-(end - begin) // step) - 1, -1, -1):
+        longest = max(longest, known.get(run, 0.0))  # an empty run must not end the reach
+        reach.append(longest)
+    lengths = F.lit(np.array(reach[::-1], np.float64))
+    last = F.least(F.lit(end), begin + step * F.size(F.filter(lengths, lambda x: x >= F.col("need")))) - 1
+    wanted = queries.withColumn("last", last).filter(F.col("last") >= begin)
+    wanted = wanted.withColumn("band", F.explode(F.sequence(F.lit(begin), F.col("last")))).drop("last", "need")
+    keys = wanted.select("band", "slot").distinct()
+    return wanted.join(blocks.drop("longest").join(keys, "band"), ["band", "slot"])
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,37 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert topk.top_inner_products(table.filter("false"), "vec_id % 50 = 0").count() == 0
 
 
+def test_top_k_ships_only_long_enough_blocks(spark, monkeypatch):
+    """With skewed lengths most pairs of blocks are never formed, and no join is a nested loop."""
+    monkeypatch.setattr(topk, "BAND", 100)
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "SLOT", 8)
+    rng = np.random.default_rng(5)
+    data = [(i, (rng.normal(size=6) * 300 / (1 + i) + 0.2).tolist()) for i in range(2000)]
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    counts, blocks, join = [], [], topk.block_pairs
+
+    def counted(queries, bands, begin, end):
+        pairs = join(queries, bands, begin, end)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        counts.append(pairs.count())
+        blocks.append(queries.count() * bands.count())
+        return pairs
+
+    monkeypatch.setattr(topk, "block_pairs", counted)
+    found = {}
+    for r in topk.top_inner_products(table, "vec_id % 50 = 0").collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    good = np.array([np.floor(256 * np.array(v)) for _, v in data]).astype(int)
+    for q in range(0, 2000, 50):
+        scores = good @ good[q]
+        want = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert [found[q][n] for n in range(1, 6)] == [(i, -s) for s, i in want]
+    assert sum(counts) < 0.5 * blocks[0], (counts, blocks)
+
+
 def test_pages(spark):
     table = spark.read.parquet(f"{SF}/pages.parquet")
     model = pages.fit_pages(table)
