@@ -1232,6 +1232,15 @@ SELECT 'Line' AS resource_type, 'read' AS stage, count(*) AS rows FROM lineitem
 UNION ALL SELECT 'Line', 'extracted', count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
 UNION ALL SELECT 'Order', 'read', count(*) FROM orders
 UNION ALL SELECT 'Order', 'extracted', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)"""
+ORACLE["sorted_table_upsert"] = """
+WITH returned AS (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'),
+changed AS (
+  SELECT 'Order' AS resource_type, CAST(l_orderkey AS VARCHAR) AS id, count(*) AS value FROM returned GROUP BY l_orderkey
+  UNION ALL SELECT 'Supplier', CAST(l_suppkey AS VARCHAR), count(*) FROM returned GROUP BY l_suppkey
+), old AS (SELECT 'Order' AS resource_type, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS BIGINT) AS value FROM orders)
+SELECT * FROM changed
+UNION ALL SELECT * FROM old WHERE NOT EXISTS (
+  SELECT 1 FROM changed WHERE changed.resource_type = old.resource_type AND changed.id = old.id)"""
 # Over all sections these are compared with a plain version of the suites in the tests.
 for _suite in ("conditions", "procedures", "condition_procedure", "observations", "metastases", "performance_death"):
     del ORACLE[f"suite_{_suite}"]

@@ -29,7 +29,7 @@ from oncolake.quality import paths as X
 from oncolake.quality import suites as Q
 from oncolake.quality import views as V
 from oncolake.resources.envelope import to_envelope
-from oncolake.sources import code_maps, grouped_files, patient_status, resources
+from oncolake.sources import code_maps, grouped_files, patient_status, resources, sorted_tables
 from oncolake.sources import reports as SR
 from oncolake.streaming import report_set, vital_status
 
@@ -1504,6 +1504,26 @@ def changelog_diff(spark, sf):
     return diff.select("o_orderkey", "o_custkey", F.col("retract").cast("int").alias("retract"))
 
 
+@query
+def sorted_table_upsert(spark, sf):
+    """Orders as a sorted table, then orders with returned lines replaced and their suppliers added."""
+    folder = _work_folder(spark, "sorted")
+    orders = table(spark, sf, "orders").select(
+        F.lit("Order").alias("resource_type"), F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_custkey").cast("long").alias("value"),
+    )
+    sorted_tables.write_sorted_table(orders, folder, files=8)
+    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'")
+    changes = [
+        returned.groupBy(F.lit(kind).alias("resource_type"), F.col(key).cast("string").alias("id")).agg(
+            F.count(F.lit(1)).alias("value")
+        )
+        for kind, key in (("Order", "l_orderkey"), ("Supplier", "l_suppkey"))
+    ]
+    sorted_tables.upsert_sorted_table(changes[0].unionByName(changes[1]), folder, files=8)
+    return sorted_tables.read_sorted_table(spark, folder)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diagnoses per code and year with their patients, from XML texts to joined tables.
 
