@@ -53,6 +53,8 @@ class MappingConfig:
     snomed_version: str = "http://snomed.info/sct/900000000000207008/version/20250701"
     ops_version: str = "2026"
     atc_version: str = "2025"
+    #: XSD that report documents must conform to, readable by every executor; None: not checked.
+    schema_path: str | None = None
 
     def identifier_system(self, kind: str) -> str:
         """Address of one identifier namespace, e.g. ``patient-id``."""

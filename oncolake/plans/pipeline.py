@@ -268,7 +268,7 @@ def prepare_documents(
     raw: DataFrame, cfg: MappingConfig = DEFAULT, lookup: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Document texts to (mappable reports, quarantined reports); stages the decoded reports once."""
-    parsed = raw if "document" in raw.columns else parse_reports(raw)
+    parsed = raw if "document" in raw.columns else parse_reports(raw, schema_path=cfg.schema_path)
     if "parse_error" not in parsed.columns:
         parsed = parsed.withColumn("parse_error", F.lit(None).cast("string"))
     numbered = prepare_reports(parsed, cfg, lookup).withColumn("row_id", F.monotonically_increasing_id())
