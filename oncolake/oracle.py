@@ -1232,6 +1232,9 @@ SELECT 'Line' AS resource_type, 'read' AS stage, count(*) AS rows FROM lineitem
 UNION ALL SELECT 'Line', 'extracted', count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
 UNION ALL SELECT 'Order', 'read', count(*) FROM orders
 UNION ALL SELECT 'Order', 'extracted', count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)"""
+ORACLE["schema_check"] = """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'document is not well-formed'
+  WHEN o_orderstatus = 'P' THEN 'document does not conform to the schema' END AS parse_error FROM orders"""
 ORACLE["sorted_table_upsert"] = """
 WITH returned AS (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'),
 changed AS (

@@ -1504,6 +1504,24 @@ def changelog_diff(spark, sf):
     return diff.select("o_orderkey", "o_custkey", F.col("retract").cast("int").alias("retract"))
 
 
+@query
+def schema_check(spark, sf):
+    """Orders as report texts checked against a schema: pending ones have no date, urgent ones are cut off."""
+    folder = _work_folder(spark, "schema")
+    schema = (
+        '<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="oBDS"><xs:complexType><xs:sequence>'
+        '<xs:element name="Meldedatum" type="xs:date"/><xs:element name="Menge_Patient"/></xs:sequence>'
+        '<xs:attribute name="Schema_Version" use="required"/></xs:complexType></xs:element></xs:schema>'
+    )
+    spark.range(1).select(F.lit(schema)).coalesce(1).write.text(folder)
+    day = F.when(F.col("o_orderstatus") == "P", "pending").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    text = F.concat(F.lit('<oBDS Schema_Version="3.0.2"><Meldedatum>'), day, F.lit("</Meldedatum><Menge_Patient/></oBDS>"))
+    cut = F.when(F.col("o_orderpriority") == "1-URGENT", F.substring(text, 1, 60)).otherwise(text)
+    orders = table(spark, sf, "orders").select("o_orderkey", cut.alias("xml"))
+    parsed = SR.parse_reports(orders, schema_path=spark.read.text(folder).inputFiles()[0])
+    return parsed.select("o_orderkey", "parse_error")
+
+
 @query
 def sorted_table_upsert(spark, sf):
     """Orders as a sorted table, then orders with returned lines replaced and their suppliers added."""
