@@ -1,7 +1,12 @@
 from pyspark.sql import functions as F
 
+from oncolake.functions import ids
+from oncolake.plans import derived
+from oncolake.plans import pipeline as P
 from oncolake.quality import expectations as E
 from oncolake.quality import views as V
+from oncolake.queries import reports
+from oncolake.schemas import SECTIONS
 
 
 def test_suite_counts_nulls_and_conditions(spark):
@@ -45,3 +50,33 @@ def test_weighted_pairs_equal_the_plain_join(spark):
     (row,) = E.run_suite(joined, "s", [rule], "row_weight").collect()
     # Three observations times two deaths, and one observation without a death.
     assert (row["evaluated"], row["unexpected"]) == (7, 1)
+
+
+def test_packed_ids_come_back_and_stay_apart(spark):
+    hashed = "0123456789abcdef" * 4
+    texts = [hashed, f"Patient/{hashed}", f"Condition/{hashed}", hashed[:-1], hashed.upper(), "Patient/7", "", "ä/ö", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "id string")
+    both = rows.select("id", ids.packed(F.col("id")).alias("data")).select("id", "data", ids.unpacked(F.col("data")).alias("back"))
+    found = both.collect()
+    assert [r["back"] for r in found] == texts
+    assert len({r["data"] and bytes(r["data"]) for r in found}) == len(texts)
+    assert len(found[0]["data"]) == 33 and len(found[1]["data"]) == 41
+
+
+def test_suites_stage_only_sections_their_jobs_read(spark):
+    rows = reports(spark, "/root/testdata/sf0.001")
+    deaths = P.needed_reports(rows, ("Observation",), ("deaths",))
+    assert set(deaths.schema["report"].dataType.names) & set(SECTIONS) == {"Tod"}
+    assert {r["sections"] for r in deaths.select("sections").distinct().collect()} == {"Tod"}
+    # Patients come from reports of all sections.
+    both = P.needed_reports(rows, ("MedicationStatement", "Patient"))
+    assert set(both.schema["report"].dataType.names) & set(SECTIONS) == {"SYST", "Tod"}
+    assert both.count() == rows.count()
+    assert P.needed_reports(rows).schema == rows.schema
+
+
+def test_more_orders_are_dealt_to_more_tasks(spark, monkeypatch):
+    orders = spark.range(1000).withColumnRenamed("id", "o_orderkey")
+    assert derived._spread(orders).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(derived, "ORDERS_PER_TASK", 100)
+    assert derived._spread(orders).rdd.getNumPartitions() == 12
