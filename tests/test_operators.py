@@ -8,6 +8,7 @@ from oncolake.operators import bundles, consolidate, deidentify, patient_referen
 from oncolake.operators.bundles import stamp_source
 from oncolake.operators.consolidate import retain_latest_version
 from oncolake.operators.reports import normalize_patient_id
+from oncolake.queries import _CURRENT, _RULED, reports
 
 
 def hot_rows(spark, n=600):
@@ -178,10 +179,10 @@ def test_late_fetch_equals_whole_rows(spark):
     odd = rows.limit(30).withColumn("report_id", F.lit(None).cast("string")).withColumn("export_id", F.concat(F.lit("x"), "export_id"))
     staged = stage_table(rows.unionByName(odd).withColumn("row_id", F.monotonically_increasing_id()), "reports")
     K = consolidate  # noqa: N806
-    whole = K.consolidate_reports(K.retain_latest_version(staged))
+    whole = consolidate.consolidate_reports(consolidate.retain_latest_version(staged))
     for late in (
         K.current_reports(staged),
-        K.consolidate_reports(K.retain_latest_version(staged, row="row_id"), row="row_id"),
+        consolidate.consolidate_reports(consolidate.retain_latest_version(staged, row="row_id"), row="row_id"),
     ):
         names = ["row_id", "section", "section_rank"]
         assert sorted(map(tuple, late.select(names).collect())) == sorted(map(tuple, whole.select(names).collect()))
@@ -191,3 +192,12 @@ def test_late_fetch_equals_whole_rows(spark):
     assert aggregates and not any("report#" in line for line in aggregates)
     assert derived._spread(spark.range(1000).withColumnRenamed("id", "o_orderkey"), 6).withColumn(
         "p", F.spark_partition_id()).groupBy("p").count().agg(F.max("count")).first()[0] < 2 * 1000 / 6
+
+
+def test_rules_need_no_more_of_a_report_than_their_members(spark):
+    rows = reports(spark, "/root/testdata/sf0.001").select(*_RULED, "report")
+    slim = rows.withColumn("report", consolidate.rule_members())
+    sections = slim.schema["report"].dataType
+    assert sections["Diagnose"].dataType.names == ["given"] and sections["SYST"].dataType.names == ["_SYST_ID", "Meldeanlass"]
+    steps = [consolidate.consolidate_reports(consolidate.retain_latest_version(x)).select(*_CURRENT).collect() for x in (rows, slim)]
+    assert sorted(map(str, steps[0])) == sorted(map(str, steps[1])) and steps[0]
