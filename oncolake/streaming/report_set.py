@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -59,50 +59,41 @@ def current_version() -> StatefulProcessor:
         """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            key = T.StructType([T.StructField("export_id", T.StringType())])
-            self.versions = handle.getMapState("versions", key, VERSION)
+            self.versions = handle.getListState("versions", VERSION)
 
         def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
-
             # The rows of a batch come in any order. A retraction takes out the record it names and
             # no other: an addition of the same batch, or what is stored. So the result is the same
             # for each order, and a changed record is never lost with its former state.
             net, wiped = {}, set()
-            for frame in rows:
-                for row in frame.itertuples(index=False):
-                    if row.retract and row.payload is None:
-                        wiped.add(row.export_id)  # names no content: whatever was stored before
-                        continue
-                    record = (int(row.version), row.export_id, row.payload)
-                    net[record] = net.get(record, 0) + (-1 if row.retract else 1)
-            before = self._current()
-            for export_id in wiped:
-                if self.versions.containsKey((export_id,)):
-                    self.versions.removeKey((export_id,))
+            for row in rows:
+                if row.retract and row.payload is None:
+                    wiped.add(row.export_id)  # names no content: whatever was stored before
+                    continue
+                record = (int(row.version), row.export_id, row.payload)
+                net[record] = net.get(record, 0) + (-1 if row.retract else 1)
+            # The state is read once and written once: each call of it is a message to the engine.
+            stored = {value[1]: tuple(value) for value in self.versions.get()}
+            versions = {export_id: value for export_id, value in stored.items() if export_id not in wiped}
             for record, count in net.items():
-                key_ = (record[1],)
-                if count < 0 and self.versions.containsKey(key_) and tuple(self.versions.getValue(key_)) == record:
-                    self.versions.removeKey(key_)
+                if count < 0 and versions.get(record[1]) == record:
+                    del versions[record[1]]
             for record in sorted((r for r, count in net.items() if count > 0), key=lambda r: (r[0], r[2] or "")):
-                self.versions.updateValue((record[1],), record)
-            after = self._current()
-            if after == before:
+                versions[record[1]] = record
+            if versions == stored:
                 return
-            version, export_id, payload = after or before
-            yield pd.DataFrame(
-                {
-                    "patient_id": [key[0]],
-                    "report_id": [key[1]],
-                    "version": [version],
-                    "export_id": [export_id],
-                    "payload": [payload],
-                    "retracted": [after is None],
-                }
-            )
-
-        def _current(self):
-            return max((tuple(v) for v in self.versions.values()), key=lambda v: v[:2], default=None)
+            if versions:
+                self.versions.put(list(versions.values()))
+            else:
+                self.versions.clear()
+            before, after = self._current(stored), self._current(versions)
+            if after != before:
+                values = (*key, *(after or before), after is None)
+                yield Row(**dict(zip(CURRENT.names, values)))
+
+        @staticmethod
+        def _current(versions):
+            return max(versions.values(), key=lambda v: v[:2], default=None)
 
         def close(self) -> None:
             pass
@@ -122,7 +113,7 @@ def maintain_report_set(changes: DataFrame) -> DataFrame:
     return (
         changes.select("patient_id", "report_id", "version", "export_id", "payload", "retract")
         .groupBy("patient_id", "report_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=current_version(),
             outputStructType=CURRENT,
             outputMode="Update",

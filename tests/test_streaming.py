@@ -78,3 +78,36 @@ def test_changed_record_survives_in_any_order(spark, tmp_path):
     out, _ = run_stream(spark, tmp_path, [first, second])
     last = out.filter(F.col("batch") == out.agg(F.max("batch")).collect()[0][0]).collect()
     assert {(r["report_id"], r["payload"]) for r in last} == {("a", "new"), ("b", "new"), ("c", "new")}
+
+
+def test_a_report_is_read_and_written_once_per_batch():
+    """However many versions come, the state is called once to read and once to write."""
+    from pyspark.sql import Row
+
+    class State:
+        kept, calls = [], []
+
+        def get(self):
+            self.calls.append("get")
+            return iter(self.kept)
+
+        def put(self, values):
+            self.calls.append("put")
+            self.kept = values
+
+        def clear(self):
+            self.calls.append("clear")
+            self.kept = []
+
+    class Handle:
+        def getListState(self, name, schema):  # noqa: N802
+            return State()
+
+    processor = report_set.current_version()
+    processor.init(Handle())
+    change = lambda version, retract: Row(version=version, export_id=f"e{version}", payload="p", retract=retract)
+    added = list(processor.handleInputRows(("p", "r"), iter([change(v, False) for v in range(50)]), None))
+    assert [(r.version, r.retracted) for r in added] == [(49, False)] and State.calls == ["get", "put"]
+    gone = list(processor.handleInputRows(("p", "r"), iter([change(v, True) for v in range(50)]), None))
+    assert [(r.version, r.retracted) for r in gone] == [(49, True)] and State.calls[2:] == ["get", "clear"]
+    assert list(processor.handleInputRows(("p", "r"), iter([change(1, True)]), None)) == []
