@@ -38,15 +38,13 @@ MARKS = {
     "email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
     "email_like": "[EMAIL]", "number_like": "[NUMBER]", "secret": "[SECRET]",
 }
-#: Documents the trees are fitted on at most, picked by a hash of their id.
-SAMPLE_ROWS = 20_000
 #: Share of the selected training candidates that have to be personal data.
 PRECISION = 0.99
 CONTEXT = 24
 #: Stands for each character of a base span where the wide generators of ``FREE`` look; they match none.
 FILLER = "\ufffc"
 FREE = ("email_like", "number_like")
-#: Fixed values that are fitted on with the sample, for tables without base spans of some kind or
+#: Fixed values that are fitted on with the documents, for tables without base spans of some kind or
 #: without other numbers. They pass through the same rules as a document.
 EXAMPLES = "\n".join([
     "jane.doe@example.org", "office@mail.example.co.uk", "contact: j_smith7@host-3.example.com",
@@ -294,24 +292,22 @@ class PiiModel:
     threshold: float
 
 
-def fit_pii(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> PiiModel:
-    """Fit the trees on the candidates of at most ``sample_rows`` documents.
+def fit_pii(documents: DataFrame, precision: float = PRECISION) -> PiiModel:
+    """Fit the trees on the candidates of all documents.
 
     Labels are weak: copies of base spans without their giveaway, secrets after a naming word and
     grouped numbers after a word for phones are positive, other candidates outside base spans negative.
-    Those written like a copy have no label and are left out, so that real cases in the sample do not
+    Those written like a copy have no label and are left out, so that real cases do not
     count against their own form. ``EXAMPLES`` are added. Candidates of equal features are counted first, so the driver receives at most
-    one cell per combination in the sample. The threshold is the smallest probability above which
+    one cell per combination of small whole numbers, however many documents there are. The threshold is the smallest probability above which
     the share of positives reaches ``precision``, measured by trees fitted on the other half and on ``EXAMPLES``, which all fits have.
     """
-    ids = documents.select("doc_id").filter("doc_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.lit(0).alias("fixed"))
+    texts = documents.select("text", F.lit(0).alias("fixed"))
     fixed = documents.sparkSession.range(1).select(F.lit(EXAMPLES).alias("text"), F.lit(1).alias("fixed"))
-    sample = with_candidates(texts.unionByName(fixed))
+    rows = with_candidates(texts.unionByName(fixed))
     proposed = [F.transform(F.filter(f"pii_{kind}", _outside), partial(_cell, kind, False)) for kind in WIDE]
     proposed += [F.flatten(F.transform(f"pii_{kind}", partial(_copies, kind))) for kind in ("email", "card", "phone")]
-    cells = sample.select("fixed", F.explode(F.concat(*proposed)).alias("cell")).select("fixed", "cell.*")
+    cells = rows.select("fixed", F.explode(F.concat(*proposed)).alias("cell")).select("fixed", "cell.*")
     cells = cells.groupBy(*FEATURES, "label", "made", "hidden", "fixed").agg(F.count(F.lit(1)).alias("weight"))
     rows = cells.collect()
     table = np.array([[r[name] for name in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))

@@ -329,3 +329,15 @@ def test_stages_keep_columns_of_any_name(spark):
         assert stage(spark, table.filter("false"), sf).count() == 0, name
     masked = {r.doc_id: r.text for r in corpus_pipeline.pii_stage(spark, table, sf).collect()}
     assert "a@b.de" not in masked[None] and masked[900001] is None and masked[900002] == ""
+
+
+def test_pii_is_fitted_on_all_documents(spark, monkeypatch):
+    """Neither a limit nor a sample stands between the documents and the counts."""
+    documents = spark.createDataFrame([(i, f"mail me: jane{i}@example.org, tel. +49 30 90{i:04d}") for i in range(40)], "doc_id long, text string")
+
+    def refused(*_, **__):
+        raise AssertionError("rows are left out")
+
+    for name in ("limit", "sample", "sampleBy", "orderBy"):
+        monkeypatch.setattr(type(documents), name, refused)
+    assert pii.fit_pii(documents).threshold <= 1.1
