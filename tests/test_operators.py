@@ -201,3 +201,15 @@ def test_rules_need_no_more_of_a_report_than_their_members(spark):
     assert sections["Diagnose"].dataType.names == ["given"] and sections["SYST"].dataType.names == ["_SYST_ID", "Meldeanlass"]
     steps = [consolidate.consolidate_reports(consolidate.retain_latest_version(x)).select(*_CURRENT).collect() for x in (rows, slim)]
     assert sorted(map(str, steps[0])) == sorted(map(str, steps[1])) and steps[0]
+
+
+def test_few_wide_rows_are_read_at_once_and_the_setting_comes_back(spark):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    try:
+        with staging.few_rows_at_once(spark, 7):
+            assert spark.conf.get(name) == "7"
+            raise KeyError
+    except KeyError:
+        pass
+    assert spark.conf.get(name) == before
