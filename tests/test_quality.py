@@ -1,11 +1,16 @@
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from oncolake import resources as R
 from oncolake.functions import ids
+from oncolake.operators.staging import small_scans
 from oncolake.plans import derived
 from oncolake.plans import pipeline as P
 from oncolake.quality import expectations as E
+from oncolake.quality import suites as Q
 from oncolake.quality import views as V
-from oncolake.queries import reports
+from oncolake.queries import CFG, reports
 from oncolake.schemas import SECTIONS
 
 
@@ -87,3 +92,58 @@ def test_more_orders_are_dealt_to_more_tasks(spark, monkeypatch):
         assert tasks() == 16
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_reports_hold_no_hashes_and_come_back(spark):
+    rows = reports(spark, "/root/testdata/sf0.001")
+    staged = P.stage_reports(rows, CFG)
+    assert staged.columns == rows.columns
+    written = spark.read.parquet(staged.inputFiles()[0].rsplit("/", 2)[0])
+    assert not {"patient_ref", "condition_id", "bundle_id"} & set(written.columns)
+    names = ["export_id", "sections", *P.REFERENCES, "condition_value"]
+    found = [sorted(map(tuple, df.select(*names).collect())) for df in (rows, staged)]
+    assert found[0] == found[1] and len(found[0]) > 1000
+
+
+def test_staged_references_of_a_lookup_are_written(spark):
+    cfg = replace(CFG, patient_reference_strategy="record_id")
+    rows = reports(spark, "/root/testdata/sf0.001").limit(5).withColumn("patient_ref", F.lit("Patient/known"))
+    assert {r["patient_ref"] for r in P.stage_reports(rows, cfg).collect()} == {"Patient/known"}
+
+
+def test_largest_id_is_that_of_the_texts(spark):
+    low, high = "0123456789abcdef" * 4, "fe" * 32
+    groups = [
+        [f"Patient/{low}", f"Patient/{high}", None], [f"Patient/{high}", "Patient/z"], [f"Patient/{high}", "Patient/0"],
+        [high, low], [high.upper(), low], [f"Patient/{high}\n", f"Patient/{high}"], ["", None], [None], ["Patient/7"],
+    ]
+    rows = spark.createDataFrame([(i, x) for i, g in enumerate(groups) for x in g], "i int, id string")
+    found = rows.groupBy("i").agg(
+        F.max("id").alias("text"), ids.max_id(F.col("id"), "Patient/").alias("a"), ids.max_id(F.col("id")).alias("b")
+    ).collect()
+    assert len(found) == len(groups) and all(r["text"] == r["a"] == r["b"] for r in found)
+
+
+def test_patients_move_hashes_as_bytes(spark):
+    rows = P.stage_reports(reports(spark, "/root/testdata/sf0.001"), CFG)
+    plan = R.map_patients(rows, CFG).select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(bundle_id" not in plan and "unhex(" in plan
+
+
+def test_quality_run_stages_what_is_read_twice_in_small_scans(spark, monkeypatch):
+    tables = {"Observation": R.map_deaths(reports(spark, "/root/testdata/sf0.001", "Tod"), CFG)}
+    size, staged = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(size)
+
+    def stage(df, name, *more):
+        staged.append((name, spark.conf.get(size)))
+        return df
+
+    monkeypatch.setattr(Q, "stage_table", stage)
+    one = Q.quality_run(tables, "2001-12-31", CFG, ["death_dates"]).collect()
+    assert staged == []
+    both = Q.quality_run(tables, "2001-12-31", CFG, ["death_dates", "death_completeness"]).collect()
+    assert staged == [("observations", str(32 << 20))] and spark.conf.get(size) == before
+    assert set(one) < set(both) and len(both) == 4
+    with small_scans(spark, 1 << 20):
+        assert spark.conf.get(size) == str(128 << 20)
