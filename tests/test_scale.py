@@ -3,13 +3,18 @@
 import os
 import time
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from oncolake.functions import ids
 from oncolake.operators import bundles as B
 from oncolake.operators import staging
+from oncolake.quality import paths as X
 from oncolake.quality import suites as Q
 from oncolake.quality import views as V
+from oncolake.queries import QUERIES
+from oncolake.sources import grouped_files as GF
 from oncolake.sources import reports as SR
 
 
@@ -93,3 +98,40 @@ def test_staged_tables_leave_no_shuffle_and_can_be_dropped(spark):
     assert path.startswith(folder) and os.path.isdir(path)
     staging.drop_staged(staged)
     assert not os.path.exists(path)
+
+
+def test_views_by_path_deletes_what_it_has_read(spark):
+    folder = staging.checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows = QUERIES["views_by_path"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.view for r in rows} == set(V.BASE_TABLES) and all(r.resources > 0 and r.differing == 0 for r in rows)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"compared"}
+
+
+def test_views_by_path_compares_packed_ids(spark):
+    texts = ['{"id": "%s", "gender": "male"}' % ("a" * 64), '{"id": "%s", "gender": "male"}' % ("a" * 64), '{"id": "A"}']
+    rows = spark.createDataFrame([("Patient", t) for t in texts], "resource_type string, resource_json string")
+    paths = {"patient_id": "id", "gender": "gender"}
+    found = X.view_of_resources(rows, "Patient", paths, change=V.pack_ids)
+    assert dict(found.dtypes)["patient_id"] == "binary"
+    plain = X.view_of_resources(rows, "Patient", paths)
+    assert sorted(map(tuple, V.unpack_ids(found).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_a_task_makes_its_files_in_a_folder_of_its_own(tmp_path, monkeypatch):
+    class Context:
+        partitionId, taskAttemptId, get = staticmethod(lambda: 0), staticmethod(lambda: 1), classmethod(lambda cls: cls)
+
+    monkeypatch.setattr(GF, "TaskContext", Context)
+    writer, seen = GF.GroupedFilesWriter(str(tmp_path), ".json", ",", "]"), []
+    publish = writer._publish
+    writer._publish = lambda *given: seen.append(os.listdir(tmp_path)) or publish(*given)
+    rows = pa.RecordBatch.from_pydict({"name": ["a", "a", "a", "b"], "text": ["[", "1", "2", "["]})
+    writer.commit([writer.write(iter([rows]))])
+    assert [len(names) for names in seen] == [1]  # no file in the common folder before all are written
+    assert {n: (tmp_path / n).read_text() for n in ("a.json", "b.json")} == {"a.json": "[1,2]", "b.json": "[]"}
+    again = pa.RecordBatch.from_pydict({"name": ["c", "d", "c"], "text": ["[", "[", "1"]})
+    with pytest.raises(ValueError, match="do not come together"):
+        writer.write(iter([again]))
+    assert sorted(os.listdir(tmp_path)) == ["_SUCCESS", "_files", "a.json", "b.json"]
